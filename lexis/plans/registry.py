@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from lexis.plans import langid_jobs, langid_oracle
+from lexis.plans import classify_jobs, classify_oracle, langid_jobs, langid_oracle
+
+FAMILIES = [
+    (langid_jobs.QUERIES, langid_oracle.SQL),
+    (classify_jobs.QUERIES, classify_oracle.SQL),
+]
 
 
 def all_queries() -> dict:
     q = {}
-    q.update(langid_jobs.QUERIES)
+    for jobs, _ in FAMILIES:
+        q.update(jobs)
     return q
 
 
 def all_oracles() -> dict:
     o = {}
-    o.update(langid_oracle.SQL)
+    for _, sql in FAMILIES:
+        o.update(sql)
     return o
