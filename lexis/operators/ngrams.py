@@ -30,8 +30,12 @@ def gram_structs(units: Column, orders: Sequence[int], sep: str = "") -> Column:
 
 def explode_grams(df: DataFrame, keys: Sequence[str], units: Column, orders: Sequence[int],
                   sep: str = "") -> DataFrame:
-    """One row per gram occurrence: ``keys.., n, gram``."""
-    return df.select(*keys, F.inline(gram_structs(units, orders, sep)))
+    """One row per gram occurrence: ``keys.., n, gram``.
+
+    ``inline_outer`` + a null filter instead of ``inline``: the latter makes
+    Spark infer ``size(array) > 0`` and evaluate the gram array twice."""
+    return (df.select(*keys, F.inline_outer(gram_structs(units, orders, sep)))
+            .where(F.col("gram").isNotNull()))
 
 
 def count_ngrams(df: DataFrame, keys: Sequence[str], units: Column, orders: Sequence[int] = (1, 2, 3),

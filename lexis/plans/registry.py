@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lexis.plans import classify_jobs, classify_oracle, langid_jobs, langid_oracle
+from lexis.plans import (classify_jobs, classify_oracle, langid_jobs, langid_oracle, tagging_jobs,
+                         tagging_oracle)
 
 FAMILIES = [
     (langid_jobs.QUERIES, langid_oracle.SQL),
     (classify_jobs.QUERIES, classify_oracle.SQL),
+    (tagging_jobs.QUERIES, tagging_oracle.SQL),
 ]
 
 
