@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lexis.plans import (classify_jobs, classify_oracle, langid_jobs, langid_oracle, tagging_jobs,
-                         tagging_oracle)
+from lexis.plans import (classify_jobs, classify_oracle, langid_jobs, langid_oracle, relations_jobs,
+                         relations_oracle, tagging_jobs, tagging_oracle)
 
 FAMILIES = [
     (langid_jobs.QUERIES, langid_oracle.SQL),
     (classify_jobs.QUERIES, classify_oracle.SQL),
     (tagging_jobs.QUERIES, tagging_oracle.SQL),
+    (relations_jobs.QUERIES, relations_oracle.SQL),
 ]
 
 

@@ -7,7 +7,7 @@ every row is used on one side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.text import MENTION_PATTERN, whitespace_split
@@ -111,32 +111,40 @@ def relation_tokens(rel: DataFrame) -> DataFrame:
     NNP; ``NATION_k`` -> JJ if k % 3 = 0 else NNP; ``trades`` -> VBZ; other
     lower-case words -> IN; anything else -> NNP."""
     from lexis.operators.mentions import clean_sentence
-    words = rel.select("sent_id", F.posexplode(F.split(clean_sentence(F.col("sentence")), " ")).alias("i0", "text"))
-    w = Window.partitionBy("sent_id").orderBy("i0")
-    prev = F.lag("text").over(w)
-    nation_no = F.regexp_extract("text", r"^NATION_([0-9]+)$", 1)
-    tag = (F.when(prev.startswith("Customer#"), "JJ")
-           .when(F.col("text").startswith("Customer#"), "NNP")
-           .when(nation_no != "", F.when(nation_no.cast("int") % 3 == 0, "JJ").otherwise("NNP"))
-           .when(F.col("text") == "trades", "VBZ")
-           .when(F.col("text") == F.lower("text"), "IN")
-           .otherwise("NNP"))
-    return words.select("sent_id", (F.col("i0") + 1).cast("int").alias("i"), "text", tag.alias("tag"))
+    words = F.split(clean_sentence(F.col("sentence")), " ")
+
+    def tag(w, i):
+        prev = F.when(i > 0, F.get(words, i - 1))
+        nation_no = F.regexp_extract(w, r"^NATION_([0-9]+)$", 1)
+        return (F.when(F.coalesce(prev.startswith("Customer#"), F.lit(False)), "JJ")
+                .when(w.startswith("Customer#"), "NNP")
+                .when(nation_no != "", F.when(nation_no.cast("int") % 3 == 0, "JJ").otherwise("NNP"))
+                .when(w == "trades", "VBZ")
+                .when(w == F.lower(w), "IN")
+                .otherwise("NNP"))
+
+    z = F.transform(words, lambda w, i: F.struct((i + 1).cast("int").alias("i"), w.alias("text"), tag(w, i).alias("tag")))
+    return rel.select("sent_id", F.inline(z))
 
 
 def parsed_tokens(rel: DataFrame) -> DataFrame:
     """F4 ``sent_id, i, text, tag, head``: words of the role-rewritten sentence,
     ``head = floor(i/2)`` (root i = 1); when sent_id % 4 = 0 the last OBJECT
     token is a second root."""
-    from lexis.operators.mentions import role_rewrite
-    rw = role_rewrite(rel)
-    toks = rw.select("sent_id", F.posexplode(F.split("text", " ")).alias("i0", "text"))
-    last_obj = F.max(F.when(F.col("text") == "OBJECT", F.col("i0"))).over(Window.partitionBy("sent_id"))
-    i = (F.col("i0") + 1).cast("int")
-    head = F.when((F.col("sent_id") % 4 == 0) & (F.col("i0") == last_obj), F.lit(0)) \
-        .otherwise(F.floor(i / 2).cast("int"))
-    tag = F.when(F.col("text").isin("SUBJECT", "OBJECT") | F.col("text").startswith("ENTITY"), "NNP").otherwise("X")
-    return toks.select("sent_id", i.alias("i"), "text", tag.alias("tag"), head.alias("head"))
+    from lexis.operators.mentions import rewrite_words, role_array
+    words = rewrite_words(F.col("sentence"), role_array(rel))
+    x = rel.select("sent_id", words.alias("w"))
+    last_obj = F.size("w") - F.array_position(F.reverse("w"), "OBJECT") + 1
+    has_obj = F.array_position(F.reverse("w"), "OBJECT") > 0
+
+    def tok(w, i):
+        k = (i + 1).cast("int")
+        second_root = (F.col("sent_id") % 4 == 0) & has_obj & (k == last_obj)
+        head = F.when(second_root, F.lit(0)).otherwise(F.floor(k / 2).cast("int"))
+        tag = F.when(w.isin("SUBJECT", "OBJECT") | w.startswith("ENTITY"), "NNP").otherwise("X")
+        return F.struct(k.alias("i"), w.alias("text"), tag.alias("tag"), head.alias("head"))
+
+    return x.select("sent_id", F.inline(F.transform("w", tok)))
 
 
 def labelled_samples(documents: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
