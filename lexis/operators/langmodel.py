@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from lexis.functions.numeric import log2_or_null, perplexity_from
 from lexis.functions.text import char_units, padded_word_units, word_units
-from lexis.operators.ngrams import (WORD_SEP, count_ngrams, explode_grams, gram_middle, gram_prefix,
-                                    gram_structs, gram_suffix)
+from lexis.operators.ngrams import (WORD_SEP, char_ngrams, count_ngrams, explode_grams, gram_middle, gram_prefix,
+                                    gram_suffix, grams_array)
 from lexis.plans.sizing import bounded_broadcast, require_small
 
 # N per smoothing mode.
@@ -45,8 +45,11 @@ class NgramModel:
     def sep(self) -> str:
         return "" if self.unit == "char" else WORD_SEP
 
-    def units(self, text: Column) -> Column:
-        return units_for(self.unit, text, training=False)
+    def eval_grams(self, n: int) -> Column:
+        """n-gram array of a prepared evaluation row (see ``_doc_units``)."""
+        if self.unit == "char":
+            return char_ngrams(F.col("t"), n)
+        return grams_array(None, F.col("u"), [n], self.sep)
 
     def lambdas(self, vote: str = "running") -> DataFrame:
         if vote not in self._lambdas:
@@ -65,12 +68,21 @@ def units_for(unit: str, text: Column, training: bool = True) -> Column:
     raise ValueError(f"unknown unit {unit!r}")
 
 
+def _no_breaks(text: Column) -> Column:
+    return F.regexp_replace(text, "\n", "")
+
+
 def fit_ngram_model(corpus: DataFrame, model_col: str = "model", text_col: str = "text",
                     orders=(1, 2, 3), unit: str = "char") -> NgramModel:
     """Count every order for every model in one scan and one shuffle."""
     sep = "" if unit == "char" else WORD_SEP
-    src = corpus.select(F.col(model_col).alias("model"), units_for(unit, F.col(text_col)).alias("u"))
-    grams = count_ngrams(src, ["model"], F.col("u"), orders, sep).cache()
+    if unit == "char":
+        src = corpus.select(F.col(model_col).alias("model"), _no_breaks(F.col(text_col)).alias("t"))
+        arr = grams_array(F.col("t"), None, orders)
+    else:
+        src = corpus.select(F.col(model_col).alias("model"), units_for(unit, F.col(text_col)).alias("u"))
+        arr = grams_array(None, F.col("u"), orders, sep)
+    grams = count_ngrams(src, ["model"], arr, sep).cache()
     stats = (grams.groupBy("model").agg(
         F.sum(F.when(F.col("n") == 1, F.col("cnt"))).cast("bigint").alias("n_units"),
         F.count(F.when(F.col("n") == 1, 1)).cast("bigint").alias("n_types"),
@@ -86,7 +98,13 @@ def _gram_table(model: NgramModel, n: int, name: str, cnt_name: str) -> DataFram
 
 
 def _doc_units(eval_df: DataFrame, model: NgramModel, doc_col: str, text_col: str) -> DataFrame:
-    return eval_df.select(F.col(doc_col).alias("doc_id"), model.units(F.col(text_col)).alias("u"))
+    """``doc_id, t|u, m``: the text without line breaks (chars) or the word
+    array (words), and M = number of units."""
+    if model.unit == "char":
+        return (eval_df.select(F.col(doc_col).alias("doc_id"), _no_breaks(F.col(text_col)).alias("t"))
+                .withColumn("m", F.length("t")))
+    return (eval_df.select(F.col(doc_col).alias("doc_id"), units_for(model.unit, F.col(text_col), False).alias("u"))
+            .withColumn("m", F.size("u")))
 
 
 def _pair_docs_with_models(docs: DataFrame, per_model: DataFrame) -> DataFrame:
@@ -95,7 +113,7 @@ def _pair_docs_with_models(docs: DataFrame, per_model: DataFrame) -> DataFrame:
     return docs.crossJoin(require_small(per_model, MAX_MODELS, "models"))
 
 
-def _seen_sum(occ: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
+def _seen_sum(occ: DataFrame, weights: DataFrame, keys: list[str] = ("gram",)) -> DataFrame:
     """sum(weight) per (doc, model) over gram occurrences the model has seen."""
     w, small = bounded_broadcast(weights)
     if not small:
@@ -103,7 +121,7 @@ def _seen_sum(occ: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
         occ = occ.groupBy("doc_id", *keys).agg(F.count(F.lit(1)).alias("k"))
     else:
         occ = occ.withColumn("k", F.lit(1))
-    return (occ.join(w, keys)
+    return (occ.join(w, list(keys))
             .groupBy("doc_id", "model")
             .agg(F.sum(F.col("k") * F.col("w")).alias("seen")))
 
@@ -119,11 +137,10 @@ def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", te
     """C2 + C4 + C7: p(u) = c(u)/(T+1); an unseen unit counts 1 (``<UNK>``)."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
     weights = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.log2("cnt").alias("w"))
-    occ = docs.select("doc_id", F.explode("u").alias("gram"))
-    seen = _seen_sum(occ, weights, ["gram"])
+    occ = explode_grams(docs, ["doc_id"], model.eval_grams(1))
+    seen = _seen_sum(occ, weights)
     per_model = model.stats.select("model", (-F.log2(F.col("n_units") + 1)).alias("log_unseen"))
-    pairs = _pair_docs_with_models(docs.select("doc_id", F.size("u").alias("m"), F.size("u").alias("n_occ")),
-                                   per_model)
+    pairs = _pair_docs_with_models(docs.select("doc_id", "m", F.col("m").alias("n_occ")), per_model)
     return _finish(pairs, seen)
 
 
@@ -132,22 +149,20 @@ def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_
 
     log p summed over occurrences = sum_seen log2(c(h,u)+1)
         - sum_{h seen} (log2(c(h)+V) - log2 V) - n_occ * log2 V."""
-    sep = model.sep
     docs = _doc_units(eval_df, model, doc_col, text_col)
     v = model.stats.select("model", F.col({2: "n_bigrams", 3: "n_trigrams"}[n]).alias("v"))
     g = model.grams.where(F.col("n").isin(n, n - 1)).join(v, "model")
-    weights = g.select("model", "n", "gram", F.when(
+    weights = g.select("model", "gram", F.when(
         F.col("n") == n, F.log2(F.col("cnt") + 1)
     ).otherwise(-(F.log2(F.col("cnt") + F.col("v")) - log2_or_null(F.col("v")))).alias("w"))
-    occ = (explode_grams(docs, ["doc_id"], F.col("u"), [n], sep)
-           .select("doc_id", F.inline(F.array(
-               F.struct(F.lit(n).alias("n"), F.col("gram").alias("gram")),
-               F.struct(F.lit(n - 1).alias("n"), gram_prefix(F.col("gram"), n - 1, n, sep).alias("gram"))))))
-    seen = _seen_sum(occ, weights, ["n", "gram"])
+    # every n-gram occurrence, plus its history: the (n-1)-grams but the last
+    hist = model.eval_grams(n - 1)
+    occ = explode_grams(docs, ["doc_id"], F.concat(model.eval_grams(n),
+                                                   F.slice(hist, 1, F.greatest(F.size(hist) - 1, F.lit(0)))))
+    seen = _seen_sum(occ, weights)
     per_model = v.select("model", (-log2_or_null(F.col("v"))).alias("log_unseen"))
     pairs = _pair_docs_with_models(
-        docs.select("doc_id", F.size("u").alias("m"), F.greatest(F.size("u") - (n - 1), F.lit(0)).alias("n_occ")),
-        per_model)
+        docs.select("doc_id", "m", F.greatest(F.col("m") - (n - 1), F.lit(0)).alias("n_occ")), per_model)
     return _finish(pairs, seen)
 
 
@@ -238,18 +253,16 @@ def score_interpolation(model: NgramModel, eval_df: DataFrame, doc_col="doc_id",
 
     If z is unseen, so are yz and xyz, and p = l1/(T+1): a per-model constant.
     The probability table is built once for the distinct evaluation trigrams."""
-    sep = model.sep
     docs = _doc_units(eval_df, model, doc_col, text_col)
-    occ = explode_grams(docs, ["doc_id"], F.col("u"), [3], sep).select("doc_id", "gram")
+    occ = explode_grams(docs, ["doc_id"], model.eval_grams(3))
     distinct_keys = occ.select("gram").distinct()
     weights = interpolated_probability_table(model, distinct_keys, vote)
-    seen = _seen_sum(occ, weights, ["gram"])
+    seen = _seen_sum(occ, weights)
     lam = model.lambdas(vote)
     per_model = (model.stats.join(lam, "model")
                  .select("model", log2_or_null(F.col("l1") / (F.col("n_units") + 1)).alias("log_unseen")))
     pairs = _pair_docs_with_models(
-        docs.select("doc_id", F.size("u").alias("m"), F.greatest(F.size("u") - 2, F.lit(0)).alias("n_occ")),
-        per_model)
+        docs.select("doc_id", "m", F.greatest(F.col("m") - 2, F.lit(0)).alias("n_occ")), per_model)
     return _finish(pairs, seen)
 
 
@@ -295,11 +308,10 @@ def identification_accuracy(best: DataFrame, truth: DataFrame, doc_col: str = "d
 def oov_rate(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text") -> DataFrame:
     """C4: share of evaluation units each model would mask as ``<UNK>``."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
-    occ = docs.select("doc_id", F.explode("u").alias("gram"))
+    occ = explode_grams(docs, ["doc_id"], model.eval_grams(1))
     vocab = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.lit(1).alias("w"))
-    seen = _seen_sum(occ, vocab, ["gram"])
-    pairs = _pair_docs_with_models(docs.select("doc_id", F.size("u").alias("m")),
-                                   model.stats.select("model"))
+    seen = _seen_sum(occ, vocab)
+    pairs = _pair_docs_with_models(docs.select("doc_id", "m"), model.stats.select("model"))
     return (pairs.join(seen, ["doc_id", "model"], "left")
             .select("doc_id", "model", "m",
                     (F.col("m") - F.coalesce(F.col("seen"), F.lit(0))).cast("bigint").alias("n_oov")))
@@ -320,5 +332,5 @@ def rare_word_replace(corpus: DataFrame, model_col: str = "model", text_col: str
 __all__ = [
     "NgramModel", "fit_ngram_model", "score_unsmoothed", "score_laplace", "score_interpolation",
     "interpolation_weights", "perplexity", "identify", "identification_report", "identification_accuracy",
-    "oov_rate", "rare_word_replace", "gram_structs",
+    "oov_rate", "rare_word_replace",
 ]

@@ -1,9 +1,13 @@
 """N-gram counting.
 
-A text is turned into an array of units once; every order is produced from that
-array with ``transform`` + ``get`` (no per-position ``substring``, which is
-quadratic on long texts) and exploded once.  Counting is a plain ``groupBy``, so
-Spark combines map-side and the shuffle carries distinct grams only.
+Character n-grams come straight from one regular expression per order: a
+lookahead ``(?=(.{n}))`` matches at every position and captures the next n
+code points, so all overlapping, unpadded n-grams of a text are produced by one
+native expression -- no per-position ``substring`` (quadratic on long texts)
+and no interpreted higher-order function.  Word n-grams are built from the
+word array.  Grams of different orders never collide as strings (a char
+n-gram has n code points; word units contain no separator), so one ``gram``
+column serves every order and ``n`` is derived after aggregation.
 """
 
 from __future__ import annotations
@@ -19,31 +23,42 @@ from lexis.functions.text import ngram_keys
 WORD_SEP = " "
 
 
-def gram_structs(units: Column, orders: Sequence[int], sep: str = "") -> Column:
-    """``array<struct<n:int, gram:string>>`` holding every order at once."""
-    def tagged(n):
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+def char_ngrams(text: Column, n: int) -> Column:
+    """All overlapping char n-grams of ``text`` (line breaks already removed)."""
+    pattern = "(?s)(.)" if n == 1 else f"(?s)(?=(.{{{n}}}))"
+    return F.regexp_extract_all(text, F.lit(pattern), 1)
 
-    parts = [F.transform(ngram_keys(units, n, sep), tagged(n)) for n in orders]
+
+def gram_order(gram: Column, sep: str = "") -> Column:
+    """Order of a gram key (code points for chars, words for word grams)."""
+    if sep:
+        return F.size(F.split(gram, sep)).cast("int")
+    return F.length(gram).cast("int")
+
+
+def grams_array(text: Column | None, units: Column | None, orders: Sequence[int], sep: str = "") -> Column:
+    """One array holding the grams of every order (char: from ``text``;
+    word: from the ``units`` array)."""
+    if sep:
+        parts = [ngram_keys(units, n, sep) for n in orders]
+    else:
+        parts = [char_ngrams(text, n) for n in orders]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def explode_grams(df: DataFrame, keys: Sequence[str], units: Column, orders: Sequence[int],
-                  sep: str = "") -> DataFrame:
-    """One row per gram occurrence: ``keys.., n, gram``.
+def explode_grams(df: DataFrame, keys: Sequence[str], grams: Column) -> DataFrame:
+    """One row per gram occurrence: ``keys.., gram``.
 
-    ``inline_outer`` + a null filter instead of ``inline``: the latter makes
-    Spark infer ``size(array) > 0`` and evaluate the gram array twice."""
-    return (df.select(*keys, F.inline_outer(gram_structs(units, orders, sep)))
-            .where(F.col("gram").isNotNull()))
+    ``explode_outer`` + a null filter instead of ``explode``: the latter makes
+    Spark infer ``size(array) > 0`` and build the gram array twice."""
+    return df.select(*keys, F.explode_outer(grams).alias("gram")).where(F.col("gram").isNotNull())
 
 
-def count_ngrams(df: DataFrame, keys: Sequence[str], units: Column, orders: Sequence[int] = (1, 2, 3),
-                 sep: str = "") -> DataFrame:
-    """``keys.., n, gram, cnt`` -- n-grams never cross a row (document) boundary."""
-    return (explode_grams(df, keys, units, orders, sep)
-            .groupBy(*keys, "n", "gram")
-            .agg(F.count(F.lit(1)).alias("cnt")))
+def count_ngrams(df: DataFrame, keys: Sequence[str], grams: Column, sep: str = "") -> DataFrame:
+    """``keys.., n, gram, cnt`` -- n-grams never cross a row (document)
+    boundary; map-side partial aggregation collapses repeats before the shuffle."""
+    counted = explode_grams(df, keys, grams).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.select(*keys, gram_order(F.col("gram"), sep).alias("n"), "gram", "cnt")
 
 
 def gram_suffix(gram: Column, k: int, n: int, sep: str = "") -> Column:
@@ -70,9 +85,3 @@ def gram_middle(gram: Column, n: int, sep: str = "") -> Column:
     if sep:
         return F.substring_index(F.substring_index(gram, sep, 2), sep, -1)
     return F.substring(gram, 2, 1)
-
-
-def rare_units(units_df: DataFrame, keys: Sequence[str], unit_col: str, threshold: int = 1) -> DataFrame:
-    """C11: units whose count within ``keys`` is at most ``threshold``."""
-    return (units_df.groupBy(*keys, unit_col).agg(F.count(F.lit(1)).alias("cnt"))
-            .where(F.col("cnt") <= threshold))
