@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions.text import normalise_digits, word_tokens
 from lexis.operators.ordering import contiguous_folds
-from lexis.plans.sizing import bounded_broadcast, require_small
+from lexis.plans.sizing import bounded_broadcast, broadcast_static, require_small
 
 # Vocabulary band.
 SKIP_N_FEATURES = 100
@@ -32,11 +32,18 @@ def normalise(samples: DataFrame, text_col: str = "text") -> DataFrame:
     return samples.withColumn(text_col, normalise_digits(F.col(text_col)))
 
 
-def tokenise(samples: DataFrame, lemmas: DataFrame | None = None, text_col: str = "text") -> DataFrame:
+def raw_tokens(samples: DataFrame, text_col: str = "text") -> DataFrame:
+    """``sample_id, pos, token`` from digit-normalised text."""
+    return samples.select("sample_id", F.posexplode_outer(word_tokens(normalise_digits(F.col(text_col))))
+                          .alias("pos", "token")).where(F.col("token").isNotNull())
+
+
+def tokenise(samples: DataFrame, lemmas: DataFrame | None = None, text_col: str = "text",
+             toks: DataFrame | None = None) -> DataFrame:
     """``sample_id, pos, term`` from normalised text; with a lemma table
     ``(token, lemma)`` each token is replaced by its lemma (J14)."""
-    toks = samples.select("sample_id", F.posexplode(word_tokens(normalise_digits(F.col(text_col))))
-                          .alias("pos", "token"))
+    if toks is None:
+        toks = raw_tokens(samples, text_col)
     if lemmas is None:
         return toks.select("sample_id", F.col("pos").cast("int").alias("pos"), F.col("token").alias("term"))
     lem, _ = bounded_broadcast(lemmas.select("token", "lemma"))
@@ -75,7 +82,7 @@ def vocab_band(freqs: DataFrame, skip: int = SKIP_N_FEATURES, max_features: int
 def presence(per_sample: DataFrame, assign: DataFrame, vocab: DataFrame) -> DataFrame:
     """Distinct vocabulary terms per sample and fold.  The
     vocabulary is at most ``max_features - skip`` rows per fold."""
-    v, _ = bounded_broadcast(vocab.select("fold_id", "term"))
+    v = broadcast_static(vocab.select("fold_id", "term"), "vocabulary band: max_features - skip rows per fold")
     return (per_sample.select("sample_id", "term")
             .join(assign.select("sample_id", "fold_id", "is_test"), "sample_id")
             .join(v, ["fold_id", "term"], "left_semi"))
@@ -118,11 +125,11 @@ def classify_nb(pres: DataFrame, assign: DataFrame, model: dict, digits: int = 4
                .select("fold_id", "label", "term",
                        (F.log2(F.col("n_lt") / F.col("T_l") + 1.0 / F.col("T")) - F.log2(1.0 / F.col("T")))
                        .alias("w")))
-    w, _ = bounded_broadcast(weights)
+    labels = require_small(per_label, MAX_LABELS, "labels per fold")
+    w = broadcast_static(weights, "labels (checked) x vocabulary band per fold")
     seen = (pres.where(F.col("is_test")).select("fold_id", "sample_id", "term")
             .join(w, ["fold_id", "term"])
             .groupBy("fold_id", "sample_id", "label").agg(F.sum("w").alias("seen")))
-    labels = require_small(per_label, MAX_LABELS, "labels per fold")
     scored = (docs.join(labels, "fold_id")  # label dimension per fold: result shape
               .join(seen, ["fold_id", "sample_id", "label"], "left"))
     prior = F.log2(F.col("n_l") / F.col("N") + 1.0 / F.col("N"))

@@ -15,14 +15,19 @@ def samples(spark, sf_dir, label="quality"):
     return fx.labelled_samples(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label)
 
 
+@lru_cache(maxsize=8)
+def raw_tokens(spark, sf_dir):
+    """Tokenised once; lemma table and lemma-mapped terms both read it."""
+    return nb.raw_tokens(samples(spark, sf_dir)).cache()
+
+
 def lemmas(spark, sf_dir):
-    raw = nb.tokenise(samples(spark, sf_dir))
-    return fx.lemma_table(raw)
+    return fx.lemma_table(raw_tokens(spark, sf_dir).select(F.col("token").alias("term")))
 
 
 @lru_cache(maxsize=8)
 def tokens(spark, sf_dir, label="quality"):
-    return nb.tokenise(samples(spark, sf_dir, label), lemmas(spark, sf_dir)).cache()
+    return nb.tokenise(None, lemmas(spark, sf_dir), toks=raw_tokens(spark, sf_dir)).cache()
 
 
 @lru_cache(maxsize=8)

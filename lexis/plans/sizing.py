@@ -15,18 +15,27 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df_or_hinted_df, broadcast?)``.  The count runs on ``df`` as it
-    is (callers pass cached model tables, so the count also fills the cache)."""
-    n = df.limit(max_rows + 1).count()
+    """Return ``(df_or_hinted_df, broadcast?)``.  ``df`` is cached first, so the
+    counting job also materialises what the join then reads."""
+    df = df.cache()
+    n = df.count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
 
 
+def broadcast_static(df: DataFrame, bound: str) -> DataFrame:
+    """Broadcast a side whose size is bounded by construction (``bound`` says
+    by what, e.g. 'vocabulary band: max_features - skip rows per fold')."""
+    assert bound
+    return F.broadcast(df)
+
+
 def require_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     """For dimension tables that must stay small (models, labels, folds):
     broadcast them, or fail loudly instead of planning an unbounded product."""
-    n = df.limit(max_rows + 1).count()
+    df = df.cache()
+    n = df.count()
     if n > max_rows:
         raise ValueError(f"{what}: more than {max_rows} rows; refusing to pair every row with it")
     return F.broadcast(df)
