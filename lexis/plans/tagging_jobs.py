@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from lexis.operators import backoff, hmm
+from lexis.operators import backoff, hmm, rules
 from lexis.operators import sequences as sq
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
@@ -122,6 +122,42 @@ def tag_accuracy(spark, sf_dir):
     return acc.select("known", "n", F.round("accuracy", 6).alias("accuracy"))
 
 
+@lru_cache(maxsize=8)
+def brill_state(spark, sf_dir):
+    """Training sentences with gold tags and the backoff tagger's tags."""
+    gold = train_packed(spark, sf_dir).select("sent_id", "words", F.col("tags").alias("gold"))
+    cur = backoff.tag_backoff(train_tokens(spark, sf_dir).select("sent_id", "pos", "word"),
+                              backoff_model_df(spark, sf_dir))
+    cur_p = sq.pack(cur.select("sent_id", "pos", "tag"), cols=("tag",)).select("sent_id", F.col("tags").alias("cur"))
+    return gold.join(cur_p, "sent_id").cache()
+
+
+def brill_rule_scores(spark, sf_dir):
+    s = rules.score_rules(brill_state(spark, sf_dir))
+    names = F.element_at(F.array(*[F.lit(rules.template_name(t)) for t in rules.TEMPLATES]), F.col("tpl") + 1)
+    return s.select(names.alias("template"), "from_tag", "to_tag", "key", "fixes", "breaks", "score")
+
+
+def brill_apply(spark, sf_dir):
+    """The first learned rule applied to the training data: changed positions."""
+    st = brill_state(spark, sf_dir)
+    best = rules._best(rules.score_rules(st))[0]
+    after = rules.apply_rule(st, best["tpl"], best["from_tag"], best["to_tag"], best["key"], "cur")
+    z = F.arrays_zip(F.col("words").alias("word"), F.col("old").alias("old_tag"), F.col("cur").alias("new_tag"))
+    return (after.join(st.select("sent_id", F.col("cur").alias("old")), "sent_id")
+            .select("sent_id", F.posexplode(z).alias("p0", "x"))
+            .where(F.col("x.old_tag") != F.col("x.new_tag"))
+            .select("sent_id", (F.col("p0") + 1).cast("int").alias("pos"), "x.word", "x.old_tag", "x.new_tag"))
+
+
+def brill_train(spark, sf_dir, max_rules=10, min_score=2):
+    """Learned rule list (iterative; no SQL oracle)."""
+    learned = rules.fit_rules(brill_state(spark, sf_dir), max_rules, min_score)
+    schema = "rule_no int, template string, from_tag string, to_tag string, key string, score bigint"
+    return spark.createDataFrame([(r["rule_no"], r["template"], r["from_tag"], r["to_tag"], r["key"], r["score"])
+                                  for r in learned], schema)
+
+
 QUERIES = {
     "tagged_sentences": tagged_sentences,
     "word_counts": word_counts,
@@ -137,4 +173,7 @@ QUERIES = {
     "hmm_tag": hmm_tag,
     "tag_alignment": tag_alignment,
     "tag_accuracy": tag_accuracy,
+    "brill_rule_scores": brill_rule_scores,
+    "brill_apply": brill_apply,
+    "brill_train": brill_train,
 }

@@ -171,3 +171,56 @@ SQL["tag_accuracy"] = (f"WITH RECURSIVE {F2}, {HMM_MODEL}, {VITERBI}, {ALIGN} "
                        "SELECT train_count > 0 AS known, CAST(count(*) AS BIGINT) AS n, "
                        "round(avg(CASE WHEN truth_tag = pred_tag THEN 1.0 ELSE 0.0 END), 6) AS accuracy "
                        "FROM al GROUP BY ALL")
+
+
+def _brill_sql():
+    from lexis.operators.rules import OUTSIDE, TEMPLATES, template_name
+
+    def feat(kind, off):
+        arr = "words" if kind == "word" else "cur"
+        return f"coalesce(CASE WHEN pos + {off} >= 1 THEN {arr}[pos + {off}] END, '{OUTSIDE}')"
+
+    keys = ",\n    ".join(
+        f"{{'tpl': {k}, 'key': concat_ws(' ', {', '.join(feat(kind, off) for kind, off in t)})}}"
+        for k, t in enumerate(TEMPLATES))
+    names = " ".join(f"WHEN {k} THEN '{template_name(t)}'" for k, t in enumerate(TEMPLATES))
+    train_tag = BACKOFF_TAG.replace("ev AS (SELECT sent_id, pos, word FROM f2 WHERE NOT is_train)",
+                                    "ev AS (SELECT sent_id, pos, word FROM f2 WHERE is_train)")
+    body = f"""
+st AS (
+  SELECT f.sent_id, list(f.word ORDER BY f.pos) AS words, list(f.tag ORDER BY f.pos) AS gold,
+         list(b.tag ORDER BY f.pos) AS cur
+  FROM f2 f JOIN bt b ON b.sent_id = f.sent_id AND b.pos = f.pos WHERE f.is_train GROUP BY f.sent_id),
+ps AS (
+  SELECT sent_id, pos, cur[pos] AS c, gold[pos] AS g, unnest([
+    {keys}]) AS k
+  FROM (SELECT sent_id, words, gold, cur, unnest(range(1, len(words) + 1)) AS pos FROM st)),
+fx AS (SELECT k.tpl AS tpl, c AS from_tag, g AS to_tag, k.key AS key, count(*) AS fixes FROM ps WHERE c <> g GROUP BY ALL),
+br AS (SELECT k.tpl AS tpl, c AS from_tag, k.key AS key, count(*) AS breaks FROM ps WHERE c = g GROUP BY ALL),
+sc AS (
+  SELECT fx.tpl, fx.from_tag, fx.to_tag, fx.key, CAST(fx.fixes AS BIGINT) AS fixes,
+         CAST(coalesce(br.breaks, 0) AS BIGINT) AS breaks, CAST(fx.fixes - coalesce(br.breaks, 0) AS BIGINT) AS score
+  FROM fx LEFT JOIN br USING (tpl, from_tag, key))
+"""
+    return train_tag, body, names, feat
+
+
+def _brill_queries():
+    train_tag, body, names, feat = _brill_sql()
+    from lexis.operators.rules import TEMPLATES
+    head = f"WITH RECURSIVE {F2}, {BACKOFF_MODEL}, {train_tag}, {body}"
+    scores = f"{head} SELECT CASE tpl {names} END AS template, from_tag, to_tag, key, fixes, breaks, score FROM sc"
+    # apply the best rule: recompute its key at every position of the old tags
+    cases = " ".join(
+        f"WHEN {k} THEN concat_ws(' ', {', '.join(feat(kind, off) for kind, off in t)})"
+        for k, t in enumerate(TEMPLATES))
+    apply = f"""{head},
+best AS (SELECT * FROM sc ORDER BY score DESC, tpl, from_tag, to_tag, key LIMIT 1),
+pos AS (SELECT sent_id, words, cur, unnest(range(1, len(words) + 1)) AS pos FROM st)
+SELECT p.sent_id, CAST(p.pos AS INTEGER) AS pos, p.words[p.pos] AS word, p.cur[p.pos] AS old_tag, b.to_tag AS new_tag
+FROM pos p CROSS JOIN best b
+WHERE p.cur[p.pos] = b.from_tag AND (CASE b.tpl {cases} END) = b.key"""
+    return scores, apply
+
+
+SQL["brill_rule_scores"], SQL["brill_apply"] = _brill_queries()
