@@ -103,7 +103,7 @@ def read_samples(spark: SparkSession, paths) -> DataFrame:
     df = (spark.read.schema(SAMPLE_SCHEMA)
           .option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"')
-          .option("mode", "FAILFAST").option("enforceSchema", False)
+          .option("mode", "FAILFAST")
           .option("encoding", "UTF-8")
           .csv(paths))
     return df.select(F.monotonically_increasing_id().alias("sample_id"), "label", "text")

@@ -1,0 +1,6 @@
+"""Structured Streaming entry points.
+
+The reference has no streaming operator (all inputs are files read to the
+end); the only stream form offered here is language identification of
+documents arriving in a folder, scored against static, already-fitted models.
+"""

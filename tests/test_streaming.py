@@ -1,0 +1,26 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from lexis.operators import langmodel as lm
+from lexis.plans import langid_jobs
+from lexis.streaming.identify import start_identification
+
+
+def test_stream_matches_batch(spark):
+    model = langid_jobs.char_model(spark, SF_SMALL)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = tempfile.mkdtemp(prefix="lexis-stream-out-")
+    ckpt = tempfile.mkdtemp(prefix="lexis-stream-ckpt-")
+    # the folder holds several tables; only the documents file has this schema
+    stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(SF_SMALL).where(F.col("doc_id") % 5 == 0))
+    q = start_identification(model, stream, out, ckpt, "laplace")
+    q.awaitTermination(300)
+    got = spark.read.parquet(out).select("doc_id", "model", "perplexity").orderBy("doc_id").collect()
+    batch = langid_jobs.QUERIES["langid_best_laplace"](spark, SF_SMALL).select("doc_id", "model", "perplexity")
+    want = batch.orderBy("doc_id").collect()
+    assert got == want and len(got) > 0
+    assert os.path.isdir(ckpt)
