@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions.text import UNK, slash_encode, slash_tag, slash_word, whitespace_split
-from lexis.operators.ordering import global_row_number
+from lexis.operators.ordering import global_running_sum
 from lexis.plans.sizing import bounded_broadcast
 
 
@@ -94,10 +94,16 @@ def decode_slash(lines: DataFrame, id_col: str = "sent_id", line_col: str = "lin
 def align_tags(truth: DataFrame, predicted: DataFrame, train_counts: DataFrame) -> DataFrame:
     """Zip truth and prediction by global position (cut to the shorter),
     look the training count up by the *predicted-side* word (0 if unseen).
-    Global positions come from a distributed row numbering, not one task."""
+    Global position = tokens of all earlier sentences + ``pos``; the running
+    sum runs over the per-sentence lengths (one row per sentence), not over
+    tokens, and never in a single task."""
     def ranked(df, prefix):
-        r = global_row_number(df.select("sent_id", "pos", "word", "tag"), ["sent_id", "pos"], "idx")
-        return r.select("idx", F.col("word").alias(f"{prefix}_word"), F.col("tag").alias(f"{prefix}_tag"))
+        df = df.select("sent_id", "pos", "word", "tag").cache()  # read twice: lengths and rows
+        lens = df.groupBy("sent_id").agg(F.count(F.lit(1)).alias("_len"))
+        off = global_running_sum(lens, "sent_id", "_len", "_off").select("sent_id", "_off")
+        r = df.select("sent_id", "pos", "word", "tag").join(off, "sent_id")
+        return r.select((F.col("_off") + F.col("pos")).alias("idx"),
+                        F.col("word").alias(f"{prefix}_word"), F.col("tag").alias(f"{prefix}_tag"))
 
     t, p = ranked(truth, "truth"), ranked(predicted, "pred")
     c, _ = bounded_broadcast(train_counts.select(F.col("word").alias("pred_word"), F.col("cnt").alias("_c")))

@@ -84,7 +84,7 @@ def hmm_model(spark, sf_dir):
     """HMM trained on words with count <= 1 replaced by <UNK>."""
     t = train_tokens(spark, sf_dir)
     r = sq.replace_rare(t, sq.word_counts(t), UNK_THRESHOLD)
-    p = sq.pack(r.select("sent_id", "pos", F.col("model_word").alias("word"), "tag"))
+    p = sq.pack(r.select("sent_id", "pos", F.col("model_word").alias("word"), "tag")).cache()
     m = hmm.fit_hmm(p)
     return {k: v.cache() for k, v in m.items()}
 
