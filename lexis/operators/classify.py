@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions.text import normalise_digits, word_tokens
-from lexis.operators.ordering import contiguous_folds
+from lexis.operators.ordering import contiguous_folds, pack_pair
 from lexis.plans.sizing import bounded_broadcast, broadcast_static, require_small
 
 # Vocabulary band.
@@ -63,10 +63,13 @@ def term_frequencies(per_sample: DataFrame, assign: DataFrame) -> DataFrame:
     """A7 per fold over its training samples: ``fold_id, term, cnt, first``
     where ``first`` = (sample_id, pos) of the first occurrence."""
     train = assign.where(~F.col("is_test")).select("sample_id", "fold_id")
+    rng = per_sample.agg(F.min("sample_id").alias("lo"), F.max("sample_id").alias("hi"),
+                         F.max("first_pos").alias("pos")).first()
+    key = pack_pair("sample_id", "first_pos", rng.hi, rng.pos) if rng.lo is not None and rng.lo >= 0 else None
+    first = F.min(key) if key is not None else F.min(F.struct("sample_id", "first_pos"))
     return (per_sample.join(train, "sample_id")
             .groupBy("fold_id", "term")
-            .agg(F.sum("cnt").alias("cnt"),
-                 F.min(F.struct("sample_id", "first_pos")).alias("first")))
+            .agg(F.sum("cnt").alias("cnt"), first.alias("first")))
 
 
 def vocab_band(freqs: DataFrame, skip: int = SKIP_N_FEATURES, max_features: int = MAX_FEATURES) -> DataFrame:
