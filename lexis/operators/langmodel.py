@@ -6,13 +6,15 @@ Data layout
 ``stats(model, n_units, n_types, n_bigrams, n_trigrams)``
 
 Scoring never pairs every evaluation n-gram with every model.  Each score is
-split into (a) a sum over the n-grams a model has *seen*, found with an equi-join
-on the gram key, and (b) a per-model constant for everything unseen, multiplied
-by the number of n-gram occurrences of the document.  The join side is the model
-table (broadcast after a row-count check, else a shuffle join on ``gram`` with
-AQE's skew split for hot grams such as the space character).  The only pairing
-of documents with models is ``doc_stats x models``, which is the shape of the
-result itself; the model side is size-checked (``require_small``).
+split into (a) a sum over the n-grams a model has *seen* and (b) a per-model
+constant for everything unseen, multiplied by the number of n-gram occurrences
+of the document.  (a) is one equi-join of the document's gram occurrences with
+the weight table pivoted to one row per gram and one column per model
+(broadcast after a row-count check, else a shuffle join on ``gram`` with AQE's
+skew split for hot grams such as the space character), followed by K ``sum``
+columns per document; (b) is an equi-join with the K-row model table.  No
+cross join: the model dimension (at most MAX_MODELS, checked) is carried as
+columns.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from lexis.plans.sizing import bounded_broadcast, require_small
 
 # N per smoothing mode.
 MODE_ORDER = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
-MAX_MODELS = 100_000
+MAX_MODELS = 1024  # model dimension pivoted into columns when scoring
 
 
 @dataclass
@@ -76,13 +78,15 @@ def fit_ngram_model(corpus: DataFrame, model_col: str = "model", text_col: str =
                     orders=(1, 2, 3), unit: str = "char") -> NgramModel:
     """Count every order for every model in one scan and one shuffle."""
     sep = "" if unit == "char" else WORD_SEP
-    if unit == "char":
+    if unit == "char" and tuple(orders) == (1, 2, 3):
+        src = corpus.select(F.col(model_col).alias("model"), _no_breaks(F.col(text_col)).alias("t"))
+        grams = _char_counts_from_trigrams(src).cache()
+    elif unit == "char":
         src = corpus.select(F.col(model_col).alias("model"), _no_breaks(F.col(text_col)).alias("t"))
-        arr = grams_array(F.col("t"), None, orders)
+        grams = count_ngrams(src, ["model"], grams_array(F.col("t"), None, orders), sep).cache()
     else:
         src = corpus.select(F.col(model_col).alias("model"), units_for(unit, F.col(text_col)).alias("u"))
-        arr = grams_array(None, F.col("u"), orders, sep)
-    grams = count_ngrams(src, ["model"], arr, sep).cache()
+        grams = count_ngrams(src, ["model"], grams_array(None, F.col("u"), orders, sep), sep).cache()
     stats = (grams.groupBy("model").agg(
         F.sum(F.when(F.col("n") == 1, F.col("cnt"))).cast("bigint").alias("n_units"),
         F.count(F.when(F.col("n") == 1, 1)).cast("bigint").alias("n_types"),
@@ -92,6 +96,30 @@ def fit_ngram_model(corpus: DataFrame, model_col: str = "model", text_col: str =
     return NgramModel(grams, stats, unit, tuple(orders))
 
 
+def _char_counts_from_trigrams(src: DataFrame) -> DataFrame:
+    """Char uni/bi/trigram counts from one exploded array per text.
+
+    Only trigram occurrences are exploded (one row per position).  Every
+    bigram occurrence but a text's last one is the prefix of a trigram
+    occurrence, and every unit but the last is the prefix of a bigram, so
+      c2(xy) = sum_z c3(xyz) + [xy ends a text],  c1(x) = sum_y c2(xy) + [x ends a text];
+    the prefix sums run on the (small) aggregated tables and the text ends
+    add one row per text."""
+    tri = (explode_grams(src, ["model"], char_ngrams(F.col("t"), 3))
+           .groupBy("model", "gram").agg(F.count(F.lit(1)).alias("cnt")))
+    ends = src.select("model", F.length("t").alias("m"), F.substring("t", -2, 2).alias("e2"),
+                      F.substring("t", -1, 1).alias("e1"))
+    end2 = ends.where(F.col("m") >= 2).groupBy("model", F.col("e2").alias("gram")).agg(F.count(F.lit(1)).alias("cnt"))
+    end1 = ends.where(F.col("m") >= 1).groupBy("model", F.col("e1").alias("gram")).agg(F.count(F.lit(1)).alias("cnt"))
+    bi = (tri.select("model", F.substring("gram", 1, 2).alias("gram"), "cnt").unionByName(end2)
+          .groupBy("model", "gram").agg(F.sum("cnt").alias("cnt")))
+    uni = (bi.select("model", F.substring("gram", 1, 1).alias("gram"), "cnt").unionByName(end1)
+           .groupBy("model", "gram").agg(F.sum("cnt").alias("cnt")))
+    parts = [d.select("model", F.lit(n).alias("n"), "gram", F.col("cnt").cast("bigint").alias("cnt"))
+             for n, d in ((1, uni), (2, bi), (3, tri))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _gram_table(model: NgramModel, n: int, name: str, cnt_name: str) -> DataFrame:
     return (model.grams.where(F.col("n") == n)
             .select("model", F.col("gram").alias(name), F.col("cnt").alias(cnt_name)))
@@ -107,28 +135,44 @@ def _doc_units(eval_df: DataFrame, model: NgramModel, doc_col: str, text_col: st
             .withColumn("m", F.size("u")))
 
 
-def _pair_docs_with_models(docs: DataFrame, per_model: DataFrame) -> DataFrame:
-    """``doc_stats x models``: the result's own shape (one score per pair).  The
-    model side is a small dimension whose row count is checked first."""
-    return docs.crossJoin(require_small(per_model, MAX_MODELS, "models"))
-
-
-def _seen_sum(occ: DataFrame, weights: DataFrame, keys: list[str] = ("gram",)) -> DataFrame:
-    """sum(weight) per (doc, model) over gram occurrences the model has seen."""
-    w, small = bounded_broadcast(weights)
-    if not small:
-        # big models: collapse repeated grams per document before the shuffle join
-        occ = occ.groupBy("doc_id", *keys).agg(F.count(F.lit(1)).alias("k"))
-    else:
+def _model_names(model: NgramModel) -> list[str]:
+    """The model dimension: at most MAX_MODELS names, checked before use."""
+    names = require_small(model.stats.select("model"), MAX_MODELS, "models")
+    return sorted(r.model for r in names.collect())
+
+
+def _score_rows(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
+    """``doc_id, m, model, seen`` for every document and every model, where
+    ``seen`` = sum over the document's gram occurrences of the model's weight
+    (0 for a gram the model has not seen).
+
+    The weight table is pivoted to one row per gram with one column per model,
+    so the join emits one row per occurrence (not per occurrence and model) and
+    the per-document sums are K plain ``sum`` columns in one hash aggregate.
+    ``explode_outer`` keeps documents without any gram, so every document gets
+    every model without pairing tables."""
+    k = len(names)
+    wide = weights.groupBy("gram").pivot("model", names).agg(F.first("w"))
+    wide = wide.toDF("gram", *[f"w{i}" for i in range(k)])
+    w, small = bounded_broadcast(wide)
+    occ = docs.select("doc_id", "m", F.explode_outer(grams).alias("gram"))
+    if small:
         occ = occ.withColumn("k", F.lit(1))
-    return (occ.join(w, list(keys))
-            .groupBy("doc_id", "model")
-            .agg(F.sum(F.col("k") * F.col("w")).alias("seen")))
-
-
-def _finish(pairs: DataFrame, seen: DataFrame) -> DataFrame:
-    out = pairs.join(seen, ["doc_id", "model"], "left").withColumn("seen", F.coalesce("seen", F.lit(0.0)))
-    logprob = F.col("seen") + F.col("n_occ") * F.col("log_unseen")
+    else:
+        # a big model table: collapse repeated grams per document before the shuffle join
+        occ = occ.groupBy("doc_id", "m", "gram").agg(F.count(F.lit(1)).alias("k"))
+    sums = (occ.join(w, "gram", "left")
+            .groupBy("doc_id", "m")
+            .agg(*[F.sum(F.coalesce(F.col(f"w{i}") * F.col("k"), F.lit(0.0))).alias(f"s{i}") for i in range(k)]))
+    z = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("model"),
+                     F.array(*[F.col(f"s{i}").cast("double") for i in range(k)]).alias("seen"))
+    return sums.select("doc_id", "m", F.explode(z).alias("x")).select("doc_id", "m", "x.model", "x.seen")
+
+
+def _finish(rows: DataFrame, per_model: DataFrame, n_occ: Column) -> DataFrame:
+    """log p = seen + n_occ * log_unseen; per_model has one row per model."""
+    out = rows.join(F.broadcast(per_model), "model")  # K rows, checked in _model_names
+    logprob = F.col("seen") + n_occ * F.col("log_unseen")
     return out.select("doc_id", "model", "m", logprob.alias("logprob"),
                       perplexity_from(logprob, F.col("m")).alias("perplexity"))
 
@@ -137,11 +181,9 @@ def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", te
     """C2 + C4 + C7: p(u) = c(u)/(T+1); an unseen unit counts 1 (``<UNK>``)."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
     weights = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.log2("cnt").alias("w"))
-    occ = explode_grams(docs, ["doc_id"], model.eval_grams(1))
-    seen = _seen_sum(occ, weights)
+    rows = _score_rows(docs, model.eval_grams(1), weights, _model_names(model))
     per_model = model.stats.select("model", (-F.log2(F.col("n_units") + 1)).alias("log_unseen"))
-    pairs = _pair_docs_with_models(docs.select("doc_id", "m", F.col("m").alias("n_occ")), per_model)
-    return _finish(pairs, seen)
+    return _finish(rows, per_model, F.col("m"))
 
 
 def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text", n: int = 2) -> DataFrame:
@@ -157,13 +199,10 @@ def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_
     ).otherwise(-(F.log2(F.col("cnt") + F.col("v")) - log2_or_null(F.col("v")))).alias("w"))
     # every n-gram occurrence, plus its history: the (n-1)-grams but the last
     hist = model.eval_grams(n - 1)
-    occ = explode_grams(docs, ["doc_id"], F.concat(model.eval_grams(n),
-                                                   F.slice(hist, 1, F.greatest(F.size(hist) - 1, F.lit(0)))))
-    seen = _seen_sum(occ, weights)
+    grams = F.concat(model.eval_grams(n), F.slice(hist, 1, F.greatest(F.size(hist) - 1, F.lit(0))))
+    rows = _score_rows(docs, grams, weights, _model_names(model))
     per_model = v.select("model", (-log2_or_null(F.col("v"))).alias("log_unseen"))
-    pairs = _pair_docs_with_models(
-        docs.select("doc_id", "m", F.greatest(F.col("m") - (n - 1), F.lit(0)).alias("n_occ")), per_model)
-    return _finish(pairs, seen)
+    return _finish(rows, per_model, F.greatest(F.col("m") - (n - 1), F.lit(0)))
 
 
 def interpolation_weights(model: NgramModel, vote: str = "running") -> DataFrame:
@@ -254,16 +293,13 @@ def score_interpolation(model: NgramModel, eval_df: DataFrame, doc_col="doc_id",
     If z is unseen, so are yz and xyz, and p = l1/(T+1): a per-model constant.
     The probability table is built once for the distinct evaluation trigrams."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
-    occ = explode_grams(docs, ["doc_id"], model.eval_grams(3))
-    distinct_keys = occ.select("gram").distinct()
+    distinct_keys = explode_grams(docs, ["doc_id"], model.eval_grams(3)).select("gram").distinct()
     weights = interpolated_probability_table(model, distinct_keys, vote)
-    seen = _seen_sum(occ, weights)
+    rows = _score_rows(docs, model.eval_grams(3), weights, _model_names(model))
     lam = model.lambdas(vote)
     per_model = (model.stats.join(lam, "model")
                  .select("model", log2_or_null(F.col("l1") / (F.col("n_units") + 1)).alias("log_unseen")))
-    pairs = _pair_docs_with_models(
-        docs.select("doc_id", "m", F.greatest(F.col("m") - 2, F.lit(0)).alias("n_occ")), per_model)
-    return _finish(pairs, seen)
+    return _finish(rows, per_model, F.greatest(F.col("m") - 2, F.lit(0)))
 
 
 def perplexity(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id", text_col="text") -> DataFrame:
@@ -308,13 +344,9 @@ def identification_accuracy(best: DataFrame, truth: DataFrame, doc_col: str = "d
 def oov_rate(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text") -> DataFrame:
     """C4: share of evaluation units each model would mask as ``<UNK>``."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
-    occ = explode_grams(docs, ["doc_id"], model.eval_grams(1))
-    vocab = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.lit(1).alias("w"))
-    seen = _seen_sum(occ, vocab)
-    pairs = _pair_docs_with_models(docs.select("doc_id", "m"), model.stats.select("model"))
-    return (pairs.join(seen, ["doc_id", "model"], "left")
-            .select("doc_id", "model", "m",
-                    (F.col("m") - F.coalesce(F.col("seen"), F.lit(0))).cast("bigint").alias("n_oov")))
+    vocab = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.lit(1.0).alias("w"))
+    rows = _score_rows(docs, model.eval_grams(1), vocab, _model_names(model))
+    return rows.select("doc_id", "model", "m", (F.col("m") - F.col("seen")).cast("bigint").alias("n_oov"))
 
 
 def rare_word_replace(corpus: DataFrame, model_col: str = "model", text_col: str = "text",
