@@ -54,4 +54,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()  # so the checkpoint write does not recompute the plan
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
