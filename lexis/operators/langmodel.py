@@ -142,7 +142,16 @@ def _model_names(model: NgramModel) -> list[str]:
 
 
 def _score_rows(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
-    """``doc_id, m, model, seen`` for every document and every model, where
+    """Long form of ``_score_sums``: ``doc_id, m, model, seen``."""
+    k = len(names)
+    sums = _score_sums(docs, grams, weights, names)
+    z = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("model"),
+                     F.array(*[F.col(f"s{i}").cast("double") for i in range(k)]).alias("seen"))
+    return sums.select("doc_id", "m", F.explode(z).alias("x")).select("doc_id", "m", "x.model", "x.seen")
+
+
+def _score_sums(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
+    """``doc_id, m, s0 .. s{K-1}`` for every document and every model, where
     ``seen`` = sum over the document's gram occurrences of the model's weight
     (0 for a gram the model has not seen).
 
@@ -161,12 +170,29 @@ def _score_rows(docs: DataFrame, grams: Column, weights: DataFrame, names: list[
     else:
         # a big model table: collapse repeated grams per document before the shuffle join
         occ = occ.groupBy("doc_id", "m", "gram").agg(F.count(F.lit(1)).alias("k"))
-    sums = (occ.join(w, "gram", "left")
+    return (occ.join(w, "gram", "left")
             .groupBy("doc_id", "m")
-            .agg(*[F.sum(F.coalesce(F.col(f"w{i}") * F.col("k"), F.lit(0.0))).alias(f"s{i}") for i in range(k)]))
-    z = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("model"),
-                     F.array(*[F.col(f"s{i}").cast("double") for i in range(k)]).alias("seen"))
-    return sums.select("doc_id", "m", F.explode(z).alias("x")).select("doc_id", "m", "x.model", "x.seen")
+            .agg(*[F.sum(F.coalesce(F.col(f"w{i}") * F.col("k"), F.lit(0.0))).cast("double").alias(f"s{i}")
+                   for i in range(k)]))
+
+
+def _best_in_row(sums: DataFrame, names: list[str], per_model: DataFrame, n_occ: Column, mode: str,
+                 digits: int = 4) -> DataFrame:
+    """C8 without a second aggregation: the K scores of a document sit in one
+    row, so the lowest (rounded) perplexity, ties to the first model name, is a
+    ``least`` over K structs.  The K per-model constants arrive as one scalar
+    subquery (an array sorted by model name, like ``names``)."""
+    consts = per_model.agg(F.sort_array(F.collect_list(F.struct("model", "log_unseen")))).scalar()
+    cands = []
+    for i in range(len(names)):
+        lp = F.col(f"s{i}") + n_occ * F.element_at(consts, i + 1)["log_unseen"]
+        ppl = perplexity_from(lp, F.col("m"))
+        cands.append(F.when(ppl.isNotNull(), F.struct(F.round(ppl, digits).alias("p"), F.lit(i).alias("k"),
+                                                      ppl.alias("v"))))
+    best = cands[0] if len(cands) == 1 else F.least(*cands)
+    return (sums.select("doc_id", best.alias("b")).where(F.col("b").isNotNull())
+            .select("doc_id", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("b.k") + 1).alias("model"),
+                    F.round("b.v", 2).alias("perplexity"), F.lit(MODE_ORDER[mode]).alias("n")))
 
 
 def _finish(rows: DataFrame, per_model: DataFrame, n_occ: Column) -> DataFrame:
@@ -177,16 +203,23 @@ def _finish(rows: DataFrame, per_model: DataFrame, n_occ: Column) -> DataFrame:
                       perplexity_from(logprob, F.col("m")).alias("perplexity"))
 
 
-def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text") -> DataFrame:
+def _score(docs, grams, weights, names, per_model, n_occ, best: str | None):
+    if best:
+        return _best_in_row(_score_sums(docs, grams, weights, names), names, per_model, n_occ, best)
+    return _finish(_score_rows(docs, grams, weights, names), per_model, n_occ)
+
+
+def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text",
+                     best: str | None = None) -> DataFrame:
     """C2 + C4 + C7: p(u) = c(u)/(T+1); an unseen unit counts 1 (``<UNK>``)."""
     docs = _doc_units(eval_df, model, doc_col, text_col)
     weights = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.log2("cnt").alias("w"))
-    rows = _score_rows(docs, model.eval_grams(1), weights, _model_names(model))
     per_model = model.stats.select("model", (-F.log2(F.col("n_units") + 1)).alias("log_unseen"))
-    return _finish(rows, per_model, F.col("m"))
+    return _score(docs, model.eval_grams(1), weights, _model_names(model), per_model, F.col("m"), best)
 
 
-def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text", n: int = 2) -> DataFrame:
+def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text", n: int = 2,
+                  best: str | None = None) -> DataFrame:
     """C3 + C7: p(u|h) = (c(h,u)+1) / (c(h)+V), V = number of distinct n-grams.
 
     log p summed over occurrences = sum_seen log2(c(h,u)+1)
@@ -200,9 +233,9 @@ def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_
     # every n-gram occurrence, plus its history: the (n-1)-grams but the last
     hist = model.eval_grams(n - 1)
     grams = F.concat(model.eval_grams(n), F.slice(hist, 1, F.greatest(F.size(hist) - 1, F.lit(0))))
-    rows = _score_rows(docs, grams, weights, _model_names(model))
     per_model = v.select("model", (-log2_or_null(F.col("v"))).alias("log_unseen"))
-    return _finish(rows, per_model, F.greatest(F.col("m") - (n - 1), F.lit(0)))
+    return _score(docs, grams, weights, _model_names(model), per_model,
+                  F.greatest(F.col("m") - (n - 1), F.lit(0)), best)
 
 
 def interpolation_weights(model: NgramModel, vote: str = "running") -> DataFrame:
@@ -287,7 +320,7 @@ def interpolated_probability_table(model: NgramModel, trigrams: DataFrame, vote:
 
 
 def score_interpolation(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text",
-                        vote: str = "running") -> DataFrame:
+                        vote: str = "running", best: str | None = None) -> DataFrame:
     """C6 + C7: p = l1*u(z)/(T+1) + l2*c(yz)/c(y) + l3*c(xyz)/c(xy), log base 2.
 
     If z is unseen, so are yz and xyz, and p = l1/(T+1): a per-model constant.
@@ -295,11 +328,11 @@ def score_interpolation(model: NgramModel, eval_df: DataFrame, doc_col="doc_id",
     docs = _doc_units(eval_df, model, doc_col, text_col)
     distinct_keys = explode_grams(docs, ["doc_id"], model.eval_grams(3)).select("gram").distinct()
     weights = interpolated_probability_table(model, distinct_keys, vote)
-    rows = _score_rows(docs, model.eval_grams(3), weights, _model_names(model))
     lam = model.lambdas(vote)
     per_model = (model.stats.join(lam, "model")
                  .select("model", log2_or_null(F.col("l1") / (F.col("n_units") + 1)).alias("log_unseen")))
-    return _finish(rows, per_model, F.greatest(F.col("m") - 2, F.lit(0)))
+    return _score(docs, model.eval_grams(3), weights, _model_names(model), per_model,
+                  F.greatest(F.col("m") - 2, F.lit(0)), best)
 
 
 def perplexity(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id", text_col="text") -> DataFrame:
@@ -313,6 +346,18 @@ def perplexity(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def identify_best(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id", text_col="text") -> DataFrame:
+    """C8 straight from the per-document score row (no long form, no second
+    aggregation); same result as ``identify(perplexity(...))``."""
+    if mode == "unsmoothed":
+        return score_unsmoothed(model, eval_df, doc_col, text_col, best=mode)
+    if mode == "laplace":
+        return score_laplace(model, eval_df, doc_col, text_col, best=mode)
+    if mode == "interpolation":
+        return score_interpolation(model, eval_df, doc_col, text_col, best=mode)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def identify(scores: DataFrame, mode: str, digits: int = 4) -> DataFrame:
     """Best (lowest perplexity) model per document; a tie goes to the
     first model in name order.  Scores are compared after rounding to

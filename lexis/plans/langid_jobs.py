@@ -67,8 +67,7 @@ def interp_lambdas_final(spark, sf_dir):
 
 
 def best(spark, sf_dir, mode):
-    s = lm.perplexity(char_model(spark, sf_dir), _eval(spark, sf_dir), mode)
-    return lm.identify(s, mode)
+    return lm.identify_best(char_model(spark, sf_dir), _eval(spark, sf_dir), mode)
 
 
 def _best(mode):
