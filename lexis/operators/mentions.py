@@ -66,7 +66,7 @@ def noun_mismatch(rel: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def mention_consistency(rel: DataFrame, tokens: DataFrame) -> DataFrame:
-    """P8 (``task1`` assertion): number of mentions = number matched."""
+    """Number of mentions = number of matched spans (a consistency flag)."""
     n_m = rel.select("sent_id", F.size(mention_phrases(F.col("sentence"))).alias("n_mentions"))
     n_x = span_matches(rel, tokens).groupBy("sent_id").agg(F.count(F.lit(1)).alias("n_matched"))
     return (n_m.join(n_x, "sent_id", "left")
