@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,19 +38,32 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The shared folder for checkpoints and written intermediate tables: the
+    cluster's ``spark.checkpoint.dir``, or what the session was given.  Only a
+    plain local master (tests) gets a fresh scratch folder; on a cluster a
+    missing setting is an error, since no executor sees a driver-local path."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="lexis-ckpt-")
-    sc.setCheckpointDir(configured)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    if not sc.getCheckpointDir():
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexis-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, name: str = "t") -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and
+    read back: cuts lineage, is computed once, and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lexis-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor
     loss, unlike a local checkpoint)."""
