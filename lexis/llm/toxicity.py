@@ -199,8 +199,6 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     """``doc_id, toxicity`` (0 to 1) and ``worst``: the window of the largest distance
     (null without a window above 0).  ``keep_row`` adds ``row``, the input row
     as a struct."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)   # two dictionaries of about 100 kB each
     src = id_and_text(docs, id_col, text_col)
     if keep_row:
         src = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).alias("doc_id"),
@@ -209,7 +207,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     def setup():
         import math
 
-        m = sent.value
+        m = model   # travels with the task: two dictionaries of some 100 kB
         if not m.weights:
             return lambda texts: [[m.prior] * len(texts), [None] * len(texts)]
         dist = _distance(m, CACHE)
