@@ -23,6 +23,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Exactly two columns ``doc_id`` and ``text`` (null text: empty); whatever
     else the input carries stays out, so no name can clash."""
@@ -70,6 +78,19 @@ def map_texts(df: DataFrame, fields: list[T.StructField], setup: Callable[[], Ca
     return df.mapInArrow(run, schema)
 
 
+def per_worker(key, make: Callable):
+    """``make()`` once per Python worker process and key: tasks that follow in the
+    same worker find it again.  The last few keys are kept."""
+    import pyspark
+
+    held = pyspark.__dict__.setdefault("_lexis_held", {})
+    if key not in held:
+        while len(held) >= 4:
+            held.pop(next(iter(held)))
+        held[key] = make()
+    return held[key]
+
+
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                      T.StructField("kind", T.StringType())])
 

@@ -1,3 +1,52 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS = ("regexp_extract_all(translate(coalesce(text, ''), '" + UPPER + "', '" + LOWER + "'), "
+         "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i + 1:i + 10], ' ') AS k
+       FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT rid, n, i, array_to_string(w[i + 1:i + n], ' ') AS k
+       FROM (SELECT rid, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT rid, item_id, i, n FROM dw JOIN bw USING (n, k)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM hit GROUP BY rid)
+"""
+
+LINES = """
+WITH l0 AS (SELECT rid, doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS i,
+                   unnest(string_split(text, chr(10))) AS line
+            FROM (SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id, coalesce(text, '') AS text FROM documents)),
+l AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM l0),
+x AS (SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY i) AS p, i, line, w,
+             sum(w) OVER (PARTITION BY rid ORDER BY i) AS upto FROM l WHERE w > 0),
+fore AS (SELECT a.rid, a.p AS first, min(b.p) AS last FROM x a JOIN x b ON a.rid = b.rid AND b.p >= a.p
+         AND b.p < a.p + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY ALL),
+aft AS (SELECT b.rid, max(a.p) AS first, b.p AS last FROM x a JOIN x b ON a.rid = b.rid AND b.p >= a.p
+        AND b.p < a.p + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY ALL),
+runs AS (SELECT * FROM fore UNION SELECT * FROM aft),
+content AS (SELECT r.rid, r.first, r.last, string_agg(x.line, chr(10) ORDER BY x.p) AS k
+            FROM runs r JOIN x ON r.rid = x.rid AND x.p BETWEEN r.first AND r.last GROUP BY ALL),
+later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY rid, first) AS copy FROM content) WHERE copy > 1),
+gone AS (SELECT DISTINCT x.rid, x.i FROM later r JOIN x ON r.rid = x.rid AND x.p BETWEEN r.first AND r.last),
+final AS (SELECT l.rid, any_value(l.doc_id) AS doc_id, count(g.i) AS n_deleted,
+                 coalesce(string_agg(CAST(g.i AS VARCHAR), ',' ORDER BY l.i) FILTER (g.i IS NOT NULL), '') AS deleted,
+                 coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+          FROM l LEFT JOIN gone g ON l.rid = g.rid AND l.i = g.i GROUP BY l.rid)
+"""
+
+SQL: dict[str, str] = {
+    "op5_decontaminate": DECONTAMINATE + """
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
+""",
+    "op8_line_dedup": LINES + """
+SELECT doc_id, CAST(n_deleted AS BIGINT) AS n_deleted, deleted, sha256(text) AS text_sha256 FROM final
+""",
+}

@@ -25,13 +25,15 @@ rows every score is the share of toxic ones (0 without any).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexis.llm.common import col, id_and_text, map_texts
+from lexis.llm.common import col, id_and_text, map_texts, per_worker
 
 BEFORE = b" the of and to in that is was for with as on by at from are this be "
 AFTER = b" when which there their "
@@ -194,32 +196,40 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     [(r["text"], r["_y"]) for r in rows if r["_part"] == 4])
 
 
-def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
-          keep_row: bool = False) -> DataFrame:
+def _judge(model: ToxicityModel):
+    """``text -> (score, worst window)``."""
+    import math
+
+    if not model.weights:
+        return lambda text: (model.prior, None)
+    dist = per_worker(("toxicity", hash((model.ordinary, model.toxic))), lambda: _distance(model, CACHE))
+
+    def one(text):
+        ws = windows(text)
+        ds = {w: dist(w) for w in ws}
+        best = max(ds, key=lambda w: (ds[w], w), default=None)
+        z = sum(a * b for a, b in zip(model.weights, [1.0, *_top([ds[w] for w in ws])], strict=True))
+        worst = best.strip().decode(errors="replace") if best is not None and ds[best] > 0 else None
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, z)))), worst
+    return one
+
+
+def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, toxicity`` (0 to 1) and ``worst``: the window of the largest distance
-    (null without a window above 0).  ``keep_row`` adds ``row``, the input row
-    as a struct."""
-    src = id_and_text(docs, id_col, text_col)
-    if keep_row:
-        src = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).alias("doc_id"),
-                          F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-
-    def setup():
-        import math
-
-        m = model   # travels with the task: two dictionaries of some 100 kB
-        if not m.weights:
-            return lambda texts: [[m.prior] * len(texts), [None] * len(texts)]
-        dist = _distance(m, CACHE)
-
-        def one(text):
-            ws = windows(text)
-            ds = {w: dist(w) for w in ws}
-            best = max(ds, key=lambda w: (ds[w], w), default=None)
-            z = sum(a * b for a, b in zip(m.weights, [1.0, *_top([ds[w] for w in ws])], strict=True))
-            worst = best.strip().decode(errors="replace") if best is not None and ds[best] > 0 else None
-            return 1 / (1 + math.exp(-max(-500.0, min(500.0, z)))), worst
-
-        return lambda texts: list(map(list, zip(*map(one, texts)))) if texts else [[], []]
-
-    return map_texts(src, [T.StructField("toxicity", T.DoubleType()), T.StructField("worst", T.StringType())], setup)
+    (null without a window above 0)."""
+    def setup():   # the model travels with the task: two dictionaries of some 100 kB
+        judge = _judge(model)
+        return lambda texts: [list(x) for x in zip(*map(judge, texts))]
+
+    return map_texts(id_and_text(docs, id_col, text_col), [
+        T.StructField("toxicity", T.DoubleType()), T.StructField("worst", T.StringType())], setup)
+
+
+def scorer(model: ToxicityModel):
+    """The score as a column function, for filters that keep whole rows."""
+    @F.pandas_udf("double")
+    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        judge = _judge(model)
+        for texts in batches:
+            yield pd.Series([judge(t)[0] for t in texts], dtype="float64")
+    return toxicity
