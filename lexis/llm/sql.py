@@ -39,7 +39,18 @@ final AS (SELECT l.rid, any_value(l.doc_id) AS doc_id, count(g.i) AS n_deleted,
           FROM l LEFT JOIN gone g ON l.rid = g.rid AND l.i = g.i GROUP BY l.rid)
 """
 
+NEIGHBOURS = """
+WITH x AS (SELECT DISTINCT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+             AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+near AS (SELECT q.id AS query_id, x.id AS vec_id, list_distance(q.v, x.v) AS score
+         FROM x q JOIN x ON x.id <> q.id AND len(x.v) = len(q.v) WHERE q.id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM near) WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
+    "op3_neighbours": NEIGHBOURS,
     "op5_decontaminate": DECONTAMINATE + """
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
