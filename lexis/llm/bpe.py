@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lexis.llm.common import id_and_text, map_texts, per_worker
-from lexis.llm.pretokens import Cutter, encode_texts
+from lexis.llm.pretokens import Cutter, WordCache, encode_texts
 
 NEVER = 1 << 40
-CACHE = 300_000    # words whose encoding is kept per task
+SHORT = 48          # symbols up to which a list is faster than a heap
+CACHE = 100_000    # words of a generation whose encoding is kept, and four times as many pairs
 
 
 class Bpe:
@@ -40,7 +41,7 @@ class Bpe:
         import numpy as np
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(spec)
+        self.library = Tokenizer.from_str(spec)   # cuts the texts that Cutter does not
         spec = json.loads(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.suffix = end = spec["model"].get("end_of_word_suffix") or ""
@@ -80,7 +81,7 @@ class Bpe:
         self.longest = max(map(len, [*self.inner, *self.last]))
         self.byte = byte
         self.pair_ok: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = WordCache(CACHE)
         self.cutter = Cutter(lower=True, special=list(self.special))
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
@@ -131,6 +132,8 @@ class Bpe:
         """Exact merging: lowest rank first, from the left among equals."""
         ids = [self.inner[w[i:i + 1]] for i in range(len(w) - 1)] + [self.last[w[-1:]]]
         n = len(ids)
+        if n <= SHORT:
+            return self._merge_short(ids)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
 
@@ -155,6 +158,19 @@ class Bpe:
                 offer(prv[i])
         return [t for t in ids if t >= 0]
 
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        none = (NEVER, -1)
+        found = [self.merges.get(p, none) for p in zip(ids, ids[1:])]
+        while found and (best := min(found))[0] != NEVER:
+            i = found.index(best)
+            ids[i:i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = self.merges.get((ids[i - 1], ids[i]), none)
+            if i < len(found):
+                found[i] = self.merges.get((ids[i], ids[i + 1]), none)
+        return ids
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of distinct words: proposals, checked pair by pair, mended where wrong."""
         import numpy as np
@@ -182,16 +198,10 @@ class Bpe:
         return out
 
     def words_to_ids(self, words: list[str]) -> list[bytes]:
-        import numpy as np
+        from array import array
 
-        missing = [w for w in words if w not in self.words]
-        if missing:
-            if len(self.words) > CACHE:
-                self.words.clear()
-                missing = words
-            for w, ids in zip(missing, self.encode_words([w.encode() for w in missing]), strict=True):
-                self.words[w] = np.array(ids, np.uint32).tobytes()
-        return [self.words[w] for w in words]
+        return self.words.get_all(words, lambda missing: [
+            array("I", ids).tobytes() for ids in self.encode_words([w.encode() for w in missing])])
 
     def whole_to_ids(self, text: str):
         """Any text, cut by the tokenizer's own normalizer and pre-tokenizer."""

@@ -13,7 +13,7 @@ import re
 TOP = 0x300
 SPACE, LETTER, NUMBER, OTHER = range(4)
 EDGE = 255
-PIECE = 1_000_000    # characters cut at once
+PIECE = 500_000    # characters cut at once
 SEED = 20_022
 
 
@@ -135,6 +135,30 @@ class Cutter:
         return first, inverse
 
 
+class WordCache:
+    """Encodings of words seen lately: two generations of dictionaries, of which the
+    older is dropped when the younger is full; used words move to the younger."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get_all(self, words: list, encode) -> list:
+        """The value of each word; ``encode(missing words) -> values``."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = []
+        for w in words:
+            if w not in young:
+                if (v := old.get(w)) is not None:
+                    young[w] = v
+                else:
+                    missing.append(w)
+        if missing:
+            young.update(zip(missing, encode(missing), strict=True))
+        return list(map(young.__getitem__, words))
+
+
 def encode_texts(texts: list[str], cutter: Cutter, words_to_ids, whole_to_ids) -> list:
     """Ids (uint32 array) of every text.  ``words_to_ids(list of distinct words) ->
     list of bytes`` (little-endian uint32), ``whole_to_ids(text) -> array``."""

@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexis.llm.bpe import byte_letters
 from lexis.llm.common import id_and_text, map_texts, per_worker
-from lexis.llm.pretokens import Cutter, encode_texts
+from lexis.llm.pretokens import Cutter, WordCache, encode_texts
 
-CACHE = 300_000   # words whose encoding is kept per worker
+CACHE = 100_000   # words whose encoding is kept per worker
 
 
 class ByteLevel:
@@ -44,19 +45,18 @@ class ByteLevel:
         self.cuts = (d["normalizer"] is None and pre["type"] == "ByteLevel" and pre["use_regex"]
                      and not pre["add_prefix_space"])
         self.cutter = Cutter(lower=False, special=[t["content"] for t in d["added_tokens"]])
-        self.words: dict[str, bytes] = {}
+        self.letters = {b: c for b, c in enumerate(byte_letters())}
+        self.words = WordCache(CACHE)
 
     def words_to_ids(self, words: list[str]) -> list[bytes]:
-        import numpy as np
+        return self.words.get_all(words, self._encode)
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        from array import array
 
-        missing = [w for w in words if w not in self.words]
-        if missing:
-            if len(self.words) > CACHE:
-                self.words.clear()
-                missing = words
-            for w, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                self.words[w] = np.array(e.ids, np.uint32).tobytes()
-        return [self.words[w] for w in words]
+        tokenize, letters = self.library.model.tokenize, self.letters
+        return [array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))]).tobytes()
+                for w in words]
 
     def whole_to_ids(self, text: str):
         import numpy as np

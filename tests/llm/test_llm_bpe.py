@@ -47,6 +47,14 @@ def test_speculation_is_mended(words_bpe):
     assert any(words_bpe.propose(w) != e for w, e in zip(words, exact))
 
 
+def test_both_ways_of_merging_agree(words_bpe, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aab'e") for _ in range(rng.randint(1, 40))).encode() for _ in range(3000)]
+    short = [words_bpe.merge(w) for w in words]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert [words_bpe.merge(w) for w in words] == short
+
+
 def test_byte_bpe_equals_library():
     coder = tokenfiles.ByteLevel(open(BYTE, encoding="utf-8").read())
     lib = Tokenizer.from_file(BYTE)
