@@ -14,6 +14,8 @@ SENT_START = "<S>"
 SENT_END = "</S>"
 # Word tokeniser: runs of letters/digits, or any single other non-space character.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+# A word: no white space, by Unicode.
+WORD_PATTERN = r"[^\s\x1C-\x1F\x85\p{Z}]+"
 # Non-greedy bracketed mention.
 MENTION_PATTERN = r"\[\[ (.*?) \]\]"
 
@@ -28,20 +30,21 @@ def char_units(text) -> Column:
     return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.split(t, ""))
 
 
+def whitespace_split(text) -> Column:
+    """Maximal runs of characters that are not Unicode white space."""
+    return F.regexp_extract_all(_c(text), F.lit(WORD_PATTERN), 0)
+
+
 def word_units(text) -> Column:
     """Whitespace words of the whole text, lines concatenated."""
-    t = F.trim(F.regexp_replace(_c(text), r"\s+", " "))
-    return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    return whitespace_split(text)
 
 
 def padded_word_units(text) -> Column:
     """Each line becomes ``<S> w1 .. wk </S>``, all lines concatenated."""
     lines = F.split(_c(text), "\n")
     return F.flatten(F.transform(lines, lambda ln: F.concat(
-        F.array(F.lit(SENT_START)),
-        F.when(F.length(F.trim(ln)) == 0, F.array().cast("array<string>"))
-         .otherwise(F.split(F.trim(ln), r"\s+")),
-        F.array(F.lit(SENT_END)))))
+        F.array(F.lit(SENT_START)), whitespace_split(ln), F.array(F.lit(SENT_END)))))
 
 
 def ngram_keys(units: Column, n: int, sep: str = "") -> Column:
@@ -88,11 +91,6 @@ def slash_tag(term) -> Column:
     return F.substring_index(_c(term), "_", -1)
 
 
-def whitespace_split(line) -> Column:
-    t = F.trim(_c(line))
-    return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
-
-
 def file_stem(path) -> Column:
     """Last path component, either slash."""
     return F.regexp_extract(_c(path), r"([^/\\]+)$", 1)

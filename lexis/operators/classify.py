@@ -18,13 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions.text import normalise_digits, word_tokens
-from lexis.operators.ordering import contiguous_folds, pack_pair
-from lexis.plans.sizing import bounded_broadcast, broadcast_static, require_small
+from lexis.operators.ordering import contiguous_folds
+from lexis.plans.sizing import bounded_broadcast
 
 # Vocabulary band.
 SKIP_N_FEATURES = 100
 MAX_FEATURES = 600
-MAX_LABELS = 10_000
 
 
 def normalise(samples: DataFrame, text_col: str = "text") -> DataFrame:
@@ -63,10 +62,7 @@ def term_frequencies(per_sample: DataFrame, assign: DataFrame) -> DataFrame:
     """A7 per fold over its training samples: ``fold_id, term, cnt, first``
     where ``first`` = (sample_id, pos) of the first occurrence."""
     train = assign.where(~F.col("is_test")).select("sample_id", "fold_id")
-    rng = per_sample.agg(F.min("sample_id").alias("lo"), F.max("sample_id").alias("hi"),
-                         F.max("first_pos").alias("pos")).first()
-    key = pack_pair("sample_id", "first_pos", rng.hi, rng.pos) if rng.lo is not None and rng.lo >= 0 else None
-    first = F.min(key) if key is not None else F.min(F.struct("sample_id", "first_pos"))
+    first = F.min(F.struct("sample_id", "first_pos"))
     return (per_sample.join(train, "sample_id")
             .groupBy("fold_id", "term")
             .agg(F.sum("cnt").alias("cnt"), first.alias("first")))
@@ -85,7 +81,7 @@ def vocab_band(freqs: DataFrame, skip: int = SKIP_N_FEATURES, max_features: int
 def presence(per_sample: DataFrame, assign: DataFrame, vocab: DataFrame) -> DataFrame:
     """Distinct vocabulary terms per sample and fold.  The
     vocabulary is at most ``max_features - skip`` rows per fold."""
-    v = broadcast_static(vocab.select("fold_id", "term"), "vocabulary band: max_features - skip rows per fold")
+    v = F.broadcast(vocab.select("fold_id", "term"))
     return (per_sample.select("sample_id", "term")
             .join(assign.select("sample_id", "fold_id", "is_test"), "sample_id")
             .join(v, ["fold_id", "term"], "left_semi"))
@@ -127,10 +123,10 @@ def classify_nb(pres: DataFrame, assign: DataFrame, model: dict, digits: int = 4
                .select("fold_id", "label", "term",
                        (F.log2(F.col("n_lt") / F.col("T_l") + 1.0 / F.col("T")) - F.log2(1.0 / F.col("T")))
                        .alias("w")))
-    labels = require_small(per_label, MAX_LABELS, "labels per fold")
-    w = broadcast_static(weights, "labels (checked) x vocabulary band per fold")
+    # Spark picks the join by the measured size of the labels and weights
+    labels = per_label
     seen = (pres.where(F.col("is_test")).select("fold_id", "sample_id", "term")
-            .join(w, ["fold_id", "term"])
+            .join(weights, ["fold_id", "term"])
             .groupBy("fold_id", "sample_id", "label").agg(F.sum("w").alias("seen")))
     scored = (docs.join(labels, "fold_id")  # label dimension per fold: result shape
               .join(seen, ["fold_id", "sample_id", "label"], "left"))

@@ -13,7 +13,7 @@ the weight table pivoted to one row per gram and one column per model
 (broadcast after a row-count check, else a shuffle join on ``gram`` with AQE's
 skew split for hot grams such as the space character), followed by K ``sum``
 columns per document; (b) is an equi-join with the K-row model table.  No
-cross join: the model dimension (at most MAX_MODELS, checked) is carried as
+cross join: the model dimension (in blocks of MODEL_BLOCK) is carried as
 columns.
 """
 
@@ -28,11 +28,10 @@ from lexis.functions.numeric import log2_or_null, perplexity_from
 from lexis.functions.text import char_units, padded_word_units, word_units
 from lexis.operators.ngrams import (WORD_SEP, char_ngrams, count_ngrams, explode_grams, gram_middle, gram_prefix,
                                     gram_suffix, grams_array)
-from lexis.plans.sizing import bounded_broadcast, require_small
 
 # N per smoothing mode.
 MODE_ORDER = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
-MAX_MODELS = 1024  # model dimension pivoted into columns when scoring
+MODEL_BLOCK = 256  # models scored side by side in columns; more models are scored in several blocks
 
 
 @dataclass
@@ -76,7 +75,7 @@ def _no_breaks(text: Column) -> Column:
 
 def fit_ngram_model(corpus: DataFrame, model_col: str = "model", text_col: str = "text",
                     orders=(1, 2, 3), unit: str = "char") -> NgramModel:
-    """Count every order for every model in one scan and one shuffle."""
+    """Count every order for every model."""
     sep = "" if unit == "char" else WORD_SEP
     if unit == "char" and tuple(orders) == (1, 2, 3):
         src = corpus.select(F.col(model_col).alias("model"), _no_breaks(F.col(text_col)).alias("t"))
@@ -136,18 +135,24 @@ def _doc_units(eval_df: DataFrame, model: NgramModel, doc_col: str, text_col: st
 
 
 def _model_names(model: NgramModel) -> list[str]:
-    """The model dimension: at most MAX_MODELS names, checked before use."""
-    names = require_small(model.stats.select("model"), MAX_MODELS, "models")
-    return sorted(r.model for r in names.collect())
+    """The model dimension (one short name per training file), sorted."""
+    return sorted(r.model for r in model.stats.select("model").collect())
+
+
+def _blocks(names: list[str]) -> list[list[str]]:
+    return [names[i:i + MODEL_BLOCK] for i in range(0, len(names), MODEL_BLOCK)]
 
 
 def _score_rows(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
     """Long form of ``_score_sums``: ``doc_id, m, model, seen``."""
-    k = len(names)
-    sums = _score_sums(docs, grams, weights, names)
-    z = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("model"),
-                     F.array(*[F.col(f"s{i}").cast("double") for i in range(k)]).alias("seen"))
-    return sums.select("doc_id", "m", F.explode(z).alias("x")).select("doc_id", "m", "x.model", "x.seen")
+    rows = None
+    for block in _blocks(names):
+        sums = _score_sums(docs, grams, weights, block)
+        z = F.arrays_zip(F.array(*[F.lit(n) for n in block]).alias("model"),
+                         F.array(*[F.col(f"s{i}").cast("double") for i in range(len(block))]).alias("seen"))
+        part = sums.select("doc_id", "m", F.explode(z).alias("x")).select("doc_id", "m", "x.model", "x.seen")
+        rows = part if rows is None else rows.union(part)
+    return rows
 
 
 def _score_sums(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
@@ -161,16 +166,13 @@ def _score_sums(docs: DataFrame, grams: Column, weights: DataFrame, names: list[
     ``explode_outer`` keeps documents without any gram, so every document gets
     every model without pairing tables."""
     k = len(names)
-    wide = weights.groupBy("gram").pivot("model", names).agg(F.first("w"))
+    wide = weights.where(F.col("model").isin(names)).groupBy("gram").pivot("model", names).agg(F.first("w"))
     wide = wide.toDF("gram", *[f"w{i}" for i in range(k)])
-    w, small = bounded_broadcast(wide)
-    occ = docs.select("doc_id", "m", F.explode_outer(grams).alias("gram"))
-    if small:
-        occ = occ.withColumn("k", F.lit(1))
-    else:
-        # a big model table: collapse repeated grams per document before the shuffle join
-        occ = occ.groupBy("doc_id", "m", "gram").agg(F.count(F.lit(1)).alias("k"))
-    return (occ.join(w, "gram", "left")
+    # one shuffle of the texts by document; counting a document's grams, and their
+    # sums after a broadcast join, then need no further one
+    occ = (docs.repartition("doc_id").select("doc_id", "m", F.explode_outer(grams).alias("gram"))
+           .groupBy("doc_id", "m", "gram").agg(F.count(F.lit(1)).alias("k")))
+    return (occ.join(wide, "gram", "left")
             .groupBy("doc_id", "m")
             .agg(*[F.sum(F.coalesce(F.col(f"w{i}") * F.col("k"), F.lit(0.0))).cast("double").alias(f"s{i}")
                    for i in range(k)]))
@@ -182,7 +184,8 @@ def _best_in_row(sums: DataFrame, names: list[str], per_model: DataFrame, n_occ:
     row, so the lowest (rounded) perplexity, ties to the first model name, is a
     ``least`` over K structs.  The K per-model constants arrive as one scalar
     subquery (an array sorted by model name, like ``names``)."""
-    consts = per_model.agg(F.sort_array(F.collect_list(F.struct("model", "log_unseen")))).scalar()
+    consts = (per_model.where(F.col("model").isin(names))
+              .agg(F.sort_array(F.collect_list(F.struct("model", "log_unseen")))).scalar())
     cands = []
     for i in range(len(names)):
         lp = F.col(f"s{i}") + n_occ * F.element_at(consts, i + 1)["log_unseen"]
@@ -190,23 +193,30 @@ def _best_in_row(sums: DataFrame, names: list[str], per_model: DataFrame, n_occ:
         cands.append(F.when(ppl.isNotNull(), F.struct(F.round(ppl, digits).alias("p"), F.lit(i).alias("k"),
                                                       ppl.alias("v"))))
     best = cands[0] if len(cands) == 1 else F.least(*cands)
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("b.k") + 1)
     return (sums.select("doc_id", best.alias("b")).where(F.col("b").isNotNull())
-            .select("doc_id", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("b.k") + 1).alias("model"),
-                    F.round("b.v", 2).alias("perplexity"), F.lit(MODE_ORDER[mode]).alias("n")))
+            .select("doc_id", F.struct("b.p", name.alias("model"), "b.v").alias("b")))
 
 
 def _finish(rows: DataFrame, per_model: DataFrame, n_occ: Column) -> DataFrame:
     """log p = seen + n_occ * log_unseen; per_model has one row per model."""
-    out = rows.join(F.broadcast(per_model), "model")  # K rows, checked in _model_names
+    out = rows.join(per_model, "model")
     logprob = F.col("seen") + n_occ * F.col("log_unseen")
     return out.select("doc_id", "model", "m", logprob.alias("logprob"),
                       perplexity_from(logprob, F.col("m")).alias("perplexity"))
 
 
 def _score(docs, grams, weights, names, per_model, n_occ, best: str | None):
-    if best:
-        return _best_in_row(_score_sums(docs, grams, weights, names), names, per_model, n_occ, best)
-    return _finish(_score_rows(docs, grams, weights, names), per_model, n_occ)
+    if not best:
+        return _finish(_score_rows(docs, grams, weights, names), per_model, n_occ)
+    found = [_best_in_row(_score_sums(docs, grams, weights, block), block, per_model, n_occ, best)
+             for block in _blocks(names)]
+    out = found[0]
+    if len(found) > 1:   # the best of each block's best; ties still go to the first name
+        for f in found[1:]:
+            out = out.union(f)
+        out = out.groupBy("doc_id").agg(F.min("b").alias("b"))
+    return out.select("doc_id", "b.model", F.round("b.v", 2).alias("perplexity"), F.lit(MODE_ORDER[best]).alias("n"))
 
 
 def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text",

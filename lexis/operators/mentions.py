@@ -86,9 +86,11 @@ def role_array(rel: DataFrame) -> Column:
     obj = F.struct(F.lit("OBJECT").alias("role"), F.upper("pair.object.name").alias("name"),
                    F.col("pair.object.mid").alias("mid"))
     ents = F.transform(raw_mentions(F.col("sentence")), _entity_struct)
-    # keep a mention if its mid is not a pair mid and not seen earlier
+    # keep a mention if its mid is not a pair mid and not seen earlier; a mention
+    # without an id is no entity and hides none
+    ents = F.filter(ents, lambda e: e["mid"].isNotNull())
     fresh = F.filter(ents, lambda e, i: ~(
-        (e["mid"] == F.col("pair.subject.mid")) | (e["mid"] == F.col("pair.object.mid"))
+        e["mid"].eqNullSafe(F.col("pair.subject.mid")) | e["mid"].eqNullSafe(F.col("pair.object.mid"))
         | F.exists(F.slice(ents, 1, i), lambda x: x["mid"] == e["mid"])))
     numbered = F.transform(fresh, lambda e, i: F.struct(
         F.concat(F.lit("ENTITY"), (i + 1).cast("string")).alias("role"), e["name"].alias("name"),

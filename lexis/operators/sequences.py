@@ -112,6 +112,16 @@ def align_tags(truth: DataFrame, predicted: DataFrame, train_counts: DataFrame)
                     F.coalesce("_c", F.lit(0)).cast("bigint").alias("train_count")))
 
 
+def align_files(truth: DataFrame, predicted: DataFrame, train_counts: DataFrame) -> DataFrame:
+    """C16 for flat token streams ``idx, word, tag``."""
+    t = truth.select("idx", F.col("word").alias("truth_word"), F.col("tag").alias("truth_tag"))
+    p = predicted.select("idx", F.col("word").alias("pred_word"), F.col("tag").alias("pred_tag"))
+    c, _ = bounded_broadcast(train_counts.select(F.col("word").alias("pred_word"), F.col("cnt").alias("_c")))
+    return (t.join(p, "idx").join(c, "pred_word", "left")
+            .select("idx", "truth_word", "truth_tag", "pred_word", "pred_tag",
+                    F.coalesce("_c", F.lit(0)).cast("bigint").alias("train_count")))
+
+
 def tag_accuracy(aligned: DataFrame) -> DataFrame:
     """C17: accuracy split by known (train_count > 0) / unknown words."""
     return (aligned.groupBy((F.col("train_count") > 0).alias("known"))

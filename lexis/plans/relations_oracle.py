@@ -12,7 +12,8 @@ rel AS (
                 ELSE '[[ ' || r.r_name || ' | /m/r' || r.r_regionkey || ' ]]' END,
            CASE WHEN c.c_custkey % 7 = 0 THEN 'near [[ ' || n.n_name || ' | /m/n' || n.n_nationkey || ' ]]' END,
            CASE WHEN c.c_custkey % 11 = 0 THEN 'via /m/r' || r.r_regionkey END,
-           CASE WHEN c.c_custkey % 13 = 0 THEN 'via /m/z' || c.c_custkey END) AS sentence,
+           CASE WHEN c.c_custkey % 13 = 0 THEN 'via /m/z' || c.c_custkey END,
+           CASE WHEN c.c_custkey % 5 = 0 THEN 'for [[ AGENT | /m/a' || c.c_custkey || ' ]]' END) AS sentence,
          c.c_name || ' ' || c.c_mktsegment AS s_name, '/m/c' || c.c_custkey AS s_mid,
          n.n_name AS o_name,
          CASE WHEN c.c_custkey % 17 = 0 THEN '/m/c' || c.c_custkey ELSE '/m/n' || n.n_nationkey END AS o_mid

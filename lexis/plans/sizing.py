@@ -1,6 +1,6 @@
 """Size-checked broadcast.
 
-A side is broadcast only after its row count has been measured against a bound;
+A side is broadcast only after its size in bytes has been measured against a bound;
 above the bound the plain DataFrame is returned and Spark plans a shuffle join
 (with AQE's skew-join split for hot keys).
 """
@@ -10,32 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows; a model or vocabulary row is well under 100 bytes, so this is < ~200 MB
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(df_or_hinted_df, broadcast?)``.  ``df`` is cached first, so the
-    counting job also materialises what the join then reads."""
+    measuring job also materialises what the join then reads; its size is that
+    of the cached columns."""
     df = df.cache()
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def broadcast_static(df: DataFrame, bound: str) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (``bound`` says
-    by what, e.g. 'vocabulary band: max_features - skip rows per fold')."""
-    assert bound
-    return F.broadcast(df)
-
-
-def require_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """For dimension tables that must stay small (models, labels, folds):
-    broadcast them, or fail loudly instead of planning an unbounded product."""
-    df = df.cache()
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; refusing to pair every row with it")
-    return F.broadcast(df)
+    df.count()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return (F.broadcast(df), True) if size <= max_bytes else (df, False)

@@ -1,4 +1,4 @@
-"""Part-of-speech tagging queries over fixture F2 (English documents)."""
+"""Part-of-speech tagging queries over fixture F2 (all documents)."""
 
 from __future__ import annotations
 
@@ -103,9 +103,14 @@ def hmm_emission(spark, sf_dir):
 
 def hmm_predictions(spark, sf_dir):
     ev = _eval_replaced(spark, sf_dir)
-    tags = hmm.tag_hmm(ev, hmm_model(spark, sf_dir), word_col="model_word")
-    # restore the original words by position
-    return ev.select("sent_id", "pos", "word").join(tags, ["sent_id", "pos"])
+    # the original words stay packed beside the replaced ones
+    return hmm.tag_hmm(ev, hmm_model(spark, sf_dir), word_col="model_word", keep="word")
+
+
+def hmm_tag_plain(spark, sf_dir):
+    """HMM without rare-word replacement."""
+    model = {k: v.cache() for k, v in hmm.fit_hmm(train_packed(spark, sf_dir)).items()}
+    return hmm.tag_hmm(eval_tokens(spark, sf_dir), model, keep="word").select("sent_id", "pos", "word", "tag")
 
 
 def hmm_tag(spark, sf_dir):
@@ -117,9 +122,18 @@ def tag_alignment(spark, sf_dir):
     return sq.align_tags(eval_tokens(spark, sf_dir), pred, sq.word_counts(train_tokens(spark, sf_dir)))
 
 
+def _accuracy(spark, sf_dir, pred):
+    aligned = sq.align_tags(eval_tokens(spark, sf_dir), pred.select("sent_id", "pos", "word", "tag"),
+                            sq.word_counts(train_tokens(spark, sf_dir)))
+    return sq.tag_accuracy(aligned).select("known", "n", F.round("accuracy", 6).alias("accuracy"))
+
+
 def tag_accuracy(spark, sf_dir):
-    acc = sq.tag_accuracy(tag_alignment(spark, sf_dir))
-    return acc.select("known", "n", F.round("accuracy", 6).alias("accuracy"))
+    return _accuracy(spark, sf_dir, hmm_predictions(spark, sf_dir))
+
+
+def backoff_accuracy(spark, sf_dir):
+    return _accuracy(spark, sf_dir, backoff_tag(spark, sf_dir))
 
 
 @lru_cache(maxsize=8)
@@ -150,12 +164,47 @@ def brill_apply(spark, sf_dir):
             .select("sent_id", (F.col("p0") + 1).cast("int").alias("pos"), "x.word", "x.old_tag", "x.new_tag"))
 
 
-def brill_train(spark, sf_dir, max_rules=10, min_score=2):
-    """Learned rule list (iterative; no SQL oracle)."""
-    learned = rules.fit_rules(brill_state(spark, sf_dir), max_rules, min_score)
+@lru_cache(maxsize=8)
+def learned(spark, sf_dir):
+    return rules.fit_rules(brill_state(spark, sf_dir))
+
+
+def brill_train(spark, sf_dir):
+    """The learned rule list."""
     schema = "rule_no int, template string, from_tag string, to_tag string, key string, score bigint"
     return spark.createDataFrame([(r["rule_no"], r["template"], r["from_tag"], r["to_tag"], r["key"], r["score"])
-                                  for r in learned], schema)
+                                  for r in learned(spark, sf_dir)], schema)
+
+
+def _apply_to(tagged, rule_list):
+    """Learned rules over a base tagger's ``sent_id, pos, word, tag``."""
+    state = sq.pack(tagged).select("sent_id", "words", F.col("tags").alias("cur"))
+    return sq.unpack(rules.apply_rules(state, rule_list).withColumnRenamed("cur", "tags"))
+
+
+def brill_tag(spark, sf_dir):
+    """Evaluation sentences tagged by the backoff tagger and the learned rules."""
+    return _apply_to(backoff_tag(spark, sf_dir), learned(spark, sf_dir))
+
+
+def brill_accuracy(spark, sf_dir):
+    return _accuracy(spark, sf_dir, brill_tag(spark, sf_dir))
+
+
+def brill_tag_unk(spark, sf_dir):
+    """The same with rare and unseen words replaced by ``<UNK>`` for both taggers and
+    restored in the result."""
+    t = train_tokens(spark, sf_dir)
+    train = sq.replace_rare(t, sq.word_counts(t), UNK_THRESHOLD).select("sent_id", "pos", F.col("model_word").alias("word"), "tag")
+    gold = sq.pack(train).cache()
+    model = backoff.fit_backoff(gold).cache()
+    cur = sq.pack(backoff.tag_backoff(train.select("sent_id", "pos", "word"), model).select("sent_id", "pos", "tag"), cols=("tag",))
+    state = gold.select("sent_id", "words", F.col("tags").alias("gold")).join(
+        cur.select("sent_id", F.col("tags").alias("cur")), "sent_id")
+    rule_list = rules.fit_rules(state)
+    ev = _eval_replaced(spark, sf_dir)
+    tags = _apply_to(backoff.tag_backoff(ev.select("sent_id", "pos", F.col("model_word").alias("word")), model), rule_list)
+    return ev.select("sent_id", "pos", "word").join(tags.select("sent_id", "pos", "tag"), ["sent_id", "pos"])
 
 
 QUERIES = {
@@ -176,4 +225,9 @@ QUERIES = {
     "brill_rule_scores": brill_rule_scores,
     "brill_apply": brill_apply,
     "brill_train": brill_train,
+    "brill_tag": brill_tag,
+    "brill_tag_unk": brill_tag_unk,
+    "brill_accuracy": brill_accuracy,
+    "backoff_accuracy": backoff_accuracy,
+    "hmm_tag_plain": hmm_tag_plain,
 }

@@ -5,11 +5,10 @@ F2 = """
 ln AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          unnest(range(0, len(string_split(text, chr(10))))) AS line_no
-  FROM documents WHERE lang = 'en'),
+  FROM documents),
 sa AS (
-  SELECT doc_id * 100000 + line_no AS sent_id, doc_id % 5 <> 0 AS is_train,
-         CASE WHEN trim(lower(line)) = '' THEN []::VARCHAR[]
-              ELSE regexp_split_to_array(trim(lower(line)), '\\s+') END AS words
+  SELECT doc_id * 2147483648 + line_no AS sent_id, doc_id % 5 <> 0 AS is_train,
+         regexp_extract_all(lower(line), '\\S+') AS words
   FROM ln),
 tok AS (
   SELECT sent_id, is_train, unnest(list_transform(range(1, len(words) + 1),
@@ -36,7 +35,7 @@ cc AS (
   UNION ALL SELECT 2, c1, word, tag, sent_id, pos FROM ctx
   UNION ALL SELECT 3, c2, word, tag, sent_id, pos FROM ctx),
 cn AS (
-  SELECT ord, ctx, word, tag, count(*) AS cnt, min(sent_id * 1000000 + pos) AS first
+  SELECT ord, ctx, word, tag, count(*) AS cnt, min((sent_id, pos)) AS first
   FROM cc GROUP BY ALL),
 bm AS (
   SELECT CAST(ord AS INTEGER) AS ord, ctx, word, tag FROM (
@@ -119,8 +118,9 @@ hmm_pred AS (SELECT e.sent_id, e.pos, e.word, b.tag FROM ev e JOIN bt b USING (s
 
 LINES = """
 lines AS (
-  SELECT sent_id // 100000 AS file, sent_id, p, line FROM (
-    SELECT sent_id, CAST(pos - 1 AS INTEGER) AS p, word || ' ' || tag AS line FROM f2
+  SELECT sent_id // 2147483648 AS file, sent_id, p, line FROM (
+    SELECT sent_id, CAST(pos - 1 AS INTEGER) AS p,
+           CASE WHEN pos % 4 = 1 THEN chr(9) || word || chr(9) || tag || chr(9) ELSE word || ' ' || tag END AS line FROM f2
     UNION ALL
     SELECT sent_id, CAST(max(pos) AS INTEGER), '' FROM f2 GROUP BY sent_id)),
 lx AS (
@@ -134,7 +134,7 @@ SQL = {
     "tagged_sentences": f"""WITH {F2}, {LINES}
 SELECT file, CAST(sent_no AS BIGINT) AS sent_no,
        CAST(row_number() OVER (PARTITION BY file, sent_no ORDER BY sent_id, p) AS INTEGER) AS pos,
-       regexp_split_to_array(trim(line), '\\s+')[1] AS word, regexp_split_to_array(trim(line), '\\s+')[-1] AS tag
+       regexp_extract_all(line, '\\S+')[1] AS word, regexp_extract_all(line, '\\S+')[-1] AS tag
 FROM lx WHERE line <> '' AND sent_no < n_closed""",
     "word_counts": f"WITH {F2} SELECT word, CAST(cnt AS BIGINT) AS cnt FROM wc",
     "unk_replace": f"""WITH {F2}
@@ -173,54 +173,99 @@ SQL["tag_accuracy"] = (f"WITH RECURSIVE {F2}, {HMM_MODEL}, {VITERBI}, {ALIGN} "
                        "FROM al GROUP BY ALL")
 
 
-def _brill_sql():
-    from lexis.operators.rules import OUTSIDE, TEMPLATES, template_name
+# Rule templates as (feature, offset), written out here on purpose: the oracle
+# shares nothing with the operator but these fixed values and their names.
+BRILL_TEMPLATES = """tag-1; tag+1; tag-2; tag+2; tag-2 tag-1; tag+1 tag+2; tag-1 tag+1; word+0; word-1; word+1;
+word+0 tag-1; word+0 tag+1; word-1 tag-1; tag-3 tag-2 tag-1; tag+1 tag+2 tag+3"""
+TEMPLATES = [[(f[:-2], int(f[-2:])) for f in t.split()] for t in BRILL_TEMPLATES.split(";")]
+NAMES = " ".join(f"WHEN {k} THEN '" + " & ".join(f"{f}[{o:+d}]" for f, o in t) + "'" for k, t in enumerate(TEMPLATES))
 
-    def feat(kind, off):
-        arr = "words" if kind == "word" else "cur"
-        return f"coalesce(CASE WHEN pos + {off} >= 1 THEN {arr}[pos + {off}] END, '{OUTSIDE}')"
 
-    keys = ",\n    ".join(
-        f"{{'tpl': {k}, 'key': concat_ws(' ', {', '.join(feat(kind, off) for kind, off in t)})}}"
-        for k, t in enumerate(TEMPLATES))
-    names = " ".join(f"WHEN {k} THEN '{template_name(t)}'" for k, t in enumerate(TEMPLATES))
-    train_tag = BACKOFF_TAG.replace("ev AS (SELECT sent_id, pos, word FROM f2 WHERE NOT is_train)",
-                                    "ev AS (SELECT sent_id, pos, word FROM f2 WHERE is_train)")
-    body = f"""
+def _key(t):
+    """SQL of a template's key at position ``pos`` of ``words`` and ``cur``."""
+    parts = [f"coalesce(CASE WHEN pos + {o} >= 1 THEN {'words' if f == 'word' else 'cur'}[pos + {o}] END, '<none>')" for f, o in t]
+    return f"concat_ws(' ', {', '.join(parts)})"
+
+
+KEYS = ", ".join(f"{{'tpl': {k}, 'key': {_key(t)}}}" for k, t in enumerate(TEMPLATES))
+KEY_OF = "CASE tpl " + " ".join(f"WHEN {k} THEN {_key(t)}" for k, t in enumerate(TEMPLATES)) + " END"
+TRAIN_TAG = BACKOFF_TAG.replace("ev AS (SELECT sent_id, pos, word FROM f2 WHERE NOT is_train)",
+                                "ev0 AS (SELECT sent_id, pos, word FROM f2 WHERE is_train)") \
+    .replace("bt AS (", "bt0 AS (").replace("FROM ev e", "FROM ev0 e").replace("FROM bt t JOIN ev e", "FROM bt0 t JOIN ev0 e")
+STATE = """
 st AS (
   SELECT f.sent_id, list(f.word ORDER BY f.pos) AS words, list(f.tag ORDER BY f.pos) AS gold,
          list(b.tag ORDER BY f.pos) AS cur
-  FROM f2 f JOIN bt b ON b.sent_id = f.sent_id AND b.pos = f.pos WHERE f.is_train GROUP BY f.sent_id),
-ps AS (
-  SELECT sent_id, pos, cur[pos] AS c, gold[pos] AS g, unnest([
-    {keys}]) AS k
-  FROM (SELECT sent_id, words, gold, cur, unnest(range(1, len(words) + 1)) AS pos FROM st)),
-fx AS (SELECT k.tpl AS tpl, c AS from_tag, g AS to_tag, k.key AS key, count(*) AS fixes FROM ps WHERE c <> g GROUP BY ALL),
-br AS (SELECT k.tpl AS tpl, c AS from_tag, k.key AS key, count(*) AS breaks FROM ps WHERE c = g GROUP BY ALL),
-sc AS (
-  SELECT fx.tpl, fx.from_tag, fx.to_tag, fx.key, CAST(fx.fixes AS BIGINT) AS fixes,
-         CAST(coalesce(br.breaks, 0) AS BIGINT) AS breaks, CAST(fx.fixes - coalesce(br.breaks, 0) AS BIGINT) AS score
-  FROM fx LEFT JOIN br USING (tpl, from_tag, key))
+  FROM f2 f JOIN bt0 b ON b.sent_id = f.sent_id AND b.pos = f.pos WHERE f.is_train GROUP BY f.sent_id)
 """
-    return train_tag, body, names, feat
-
-
-def _brill_queries():
-    train_tag, body, names, feat = _brill_sql()
-    from lexis.operators.rules import TEMPLATES
-    head = f"WITH RECURSIVE {F2}, {BACKOFF_MODEL}, {train_tag}, {body}"
-    scores = f"{head} SELECT CASE tpl {names} END AS template, from_tag, to_tag, key, fixes, breaks, score FROM sc"
-    # apply the best rule: recompute its key at every position of the old tags
-    cases = " ".join(
-        f"WHEN {k} THEN concat_ws(' ', {', '.join(feat(kind, off) for kind, off in t)})"
-        for k, t in enumerate(TEMPLATES))
-    apply = f"""{head},
-best AS (SELECT * FROM sc ORDER BY score DESC, tpl, from_tag, to_tag, key LIMIT 1),
-pos AS (SELECT sent_id, words, cur, unnest(range(1, len(words) + 1)) AS pos FROM st)
-SELECT p.sent_id, CAST(p.pos AS INTEGER) AS pos, p.words[p.pos] AS word, p.cur[p.pos] AS old_tag, b.to_tag AS new_tag
-FROM pos p CROSS JOIN best b
-WHERE p.cur[p.pos] = b.from_tag AND (CASE b.tpl {cases} END) = b.key"""
-    return scores, apply
 
 
-SQL["brill_rule_scores"], SQL["brill_apply"] = _brill_queries()
+def _scores(state):
+    """Proposed rules with fixes and breaks, from the rows of ``state``."""
+    return f"""
+    SELECT *, sum(CASE WHEN from_tag = to_tag THEN n ELSE 0 END) OVER (PARTITION BY tpl, from_tag, key) AS breaks
+    FROM (SELECT k.tpl AS tpl, c AS from_tag, k.key AS key, g AS to_tag, count(*) AS n
+          FROM (SELECT cur[pos] AS c, gold[pos] AS g, unnest([{KEYS}]) AS k
+                FROM (SELECT words, gold, cur, unnest(range(1, len(words) + 1)) AS pos FROM {state})) GROUP BY ALL)"""
+
+
+SCORES = f"""
+sc AS (SELECT tpl, from_tag, to_tag, key, CAST(n AS BIGINT) AS fixes, CAST(breaks AS BIGINT) AS breaks,
+              CAST(n - breaks AS BIGINT) AS score FROM ({_scores('st')}) WHERE from_tag <> to_tag)
+"""
+CHANGED = f"""list_transform(range(1, len(words) + 1), lambda pos:
+    CASE WHEN cur[pos] = from_tag AND ({KEY_OF}) = key THEN to_tag ELSE cur[pos] END)"""
+# one round of learning per recursion: the rule, and the training tags after it
+LEARN = f"""
+learn AS (
+  SELECT 0 AS rnd, sent_id, words, gold, cur, CAST(NULL AS STRUCT(tpl INT, from_tag VARCHAR, to_tag VARCHAR, key VARCHAR, score BIGINT)) AS rule
+  FROM st
+  UNION ALL
+  SELECT rnd + 1, sent_id, words, gold, {CHANGED}, {{'tpl': tpl, 'from_tag': from_tag, 'to_tag': to_tag, 'key': key, 'score': score}}
+  FROM learn, (SELECT CAST(tpl AS INT) AS tpl, from_tag, to_tag, key, CAST(n - breaks AS BIGINT) AS score FROM ({_scores('learn')})
+               WHERE from_tag <> to_tag AND n - breaks >= 2 ORDER BY score DESC, tpl, from_tag, to_tag, key LIMIT 1) best),
+rules AS (SELECT DISTINCT rnd, rule.tpl AS tpl, rule.from_tag AS from_tag, rule.to_tag AS to_tag, rule.key AS key, rule.score AS score
+          FROM learn WHERE rnd > 0)
+"""
+APPLIED = f"""
+base AS (SELECT 0 AS rnd, sent_id, list(word ORDER BY pos) AS words, list(tag ORDER BY pos) AS cur FROM bt GROUP BY sent_id),
+steps AS (
+  SELECT rnd, sent_id, words, cur FROM base
+  UNION ALL
+  SELECT s.rnd + 1, s.sent_id, s.words, {CHANGED} FROM steps s JOIN rules r ON r.rnd = s.rnd + 1),
+brill_pred AS (
+  SELECT sent_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word, unnest(cur) AS tag
+  FROM steps WHERE rnd = (SELECT coalesce(max(rnd), 0) FROM rules))
+"""
+# words with rare and unseen ones replaced, for the same queries
+F2_UNK = F2.replace("f2 AS (", "f2w AS (").replace("FROM f2 WHERE is_train GROUP BY word", "FROM f2w WHERE is_train GROUP BY word") + """,
+f2 AS (SELECT f.sent_id, f.pos, CASE WHEN coalesce(w.cnt, 0) <= 1 THEN '<UNK>' ELSE f.word END AS word, f.tag, f.is_train
+       FROM f2w f LEFT JOIN wc w USING (word))
+"""
+HMM_PLAIN = HMM_MODEL.replace("CASE WHEN w.cnt <= 1 THEN '<UNK>' ELSE f.word END AS word", "f.word AS word")
+VITERBI_PLAIN = VITERBI.replace("CASE WHEN w.cnt IS NULL OR w.cnt <= 1 THEN '<UNK>' ELSE f.word END AS mword", "f.word AS mword")
+ACCURACY = ("SELECT train_count > 0 AS known, CAST(count(*) AS BIGINT) AS n, "
+            "round(avg(CASE WHEN truth_tag = pred_tag THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM al GROUP BY ALL")
+
+
+def _brill(f2=F2):
+    return f"WITH RECURSIVE {f2}, {BACKOFF_MODEL}, {TRAIN_TAG}, {STATE}"
+
+
+TAG = "SELECT sent_id, CAST(pos AS INTEGER) AS pos, word, tag FROM"
+SQL |= {
+    "brill_rule_scores": f"{_brill()}, {SCORES} SELECT CASE tpl {NAMES} END AS template, from_tag, to_tag, key, fixes, breaks, score FROM sc",
+    "brill_apply": f"""{_brill()}, {SCORES},
+best AS (SELECT * FROM sc ORDER BY score DESC, tpl, from_tag, to_tag, key LIMIT 1),
+pos AS (SELECT sent_id, words, cur, unnest(range(1, len(words) + 1)) AS pos FROM st)
+SELECT sent_id, CAST(pos AS INTEGER) AS pos, words[pos] AS word, cur[pos] AS old_tag, to_tag AS new_tag
+FROM pos CROSS JOIN best WHERE cur[pos] = from_tag AND ({KEY_OF}) = key""",
+    "brill_train": f"""{_brill()}, {LEARN}
+SELECT CAST(rnd AS INTEGER) AS rule_no, CASE tpl {NAMES} END AS template, from_tag, to_tag, key, score FROM rules""",
+    "brill_tag": f"{_brill()}, {LEARN}, {BACKOFF_TAG}, {APPLIED} {TAG} brill_pred",
+    "brill_tag_unk": f"""{_brill(F2_UNK)}, {LEARN}, {BACKOFF_TAG}, {APPLIED}
+SELECT p.sent_id, CAST(p.pos AS INTEGER) AS pos, w.word, p.tag FROM brill_pred p JOIN f2w w ON w.sent_id = p.sent_id AND w.pos = p.pos""",
+    "brill_accuracy": f"{_brill()}, {LEARN}, {BACKOFF_TAG}, {APPLIED}, {ALIGN.replace('FROM hmm_pred', 'FROM brill_pred')} {ACCURACY}",
+    "backoff_accuracy": f"WITH RECURSIVE {F2}, {BACKOFF_MODEL}, {BACKOFF_TAG}, {ALIGN.replace('FROM hmm_pred', 'FROM bt')} {ACCURACY}",
+    "hmm_tag_plain": f"WITH RECURSIVE {F2}, {HMM_PLAIN}, {VITERBI_PLAIN} {TAG} hmm_pred",
+}

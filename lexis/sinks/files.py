@@ -7,10 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexis.functions.text import normalise_digits
 from lexis.operators import sequences as sq
 
-# Sample listing truncation.
+# Sample listing truncation, labels of the path report.
 PREVIEW_CHARS = 125
+SUBJECT_LABEL = "SUBJECT PATH: "
+OBJECT_LABEL = "OBJECT  PATH: "
 
 
 def write_identification(best: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -61,8 +64,8 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
 def path_report_text(report: DataFrame) -> DataFrame:
     """K6 as rows: rewritten sentence, role lines, both paths, LCA."""
     body = F.concat_ws("\n", F.col("text"), F.col("entities"),
-                       F.concat(F.lit("SUBJECT PATH: "), F.col("subject_path")),
-                       F.concat(F.lit("OBJECT  PATH: "), F.col("object_path")),
+                       F.concat(F.lit(SUBJECT_LABEL), F.col("subject_path")),
+                       F.concat(F.lit(OBJECT_LABEL), F.col("object_path")),
                        F.col("lca"))
     return report.select("sent_id", F.concat(body, F.lit("\n\n")).alias("report"))
 
@@ -77,7 +80,16 @@ def write_predictions(pred: DataFrame, samples: DataFrame, path: str, mode: str
 
 def sample_preview(samples: DataFrame) -> DataFrame:
     """K8 sample listing: first 125 characters of the normalised text + '...'."""
-    return samples.select("sample_id", F.concat(F.substring("text", 1, PREVIEW_CHARS), F.lit("...")).alias("preview"))
+    text = normalise_digits("text")
+    return samples.select("sample_id", F.concat(F.substring(text, 1, PREVIEW_CHARS), F.lit("...")).alias("preview"))
+
+
+def fold_listing(samples: DataFrame, assign: DataFrame) -> DataFrame:
+    """K8 listing of each fold's samples: ``fold_id, part, sample_id, label, preview``."""
+    part = F.when(F.col("is_test"), "test").otherwise("train")
+    return (assign.select("fold_id", "sample_id", part.alias("part"))
+            .join(sample_preview(samples).join(samples.select("sample_id", "label"), "sample_id"), "sample_id")
+            .select("fold_id", "part", "sample_id", "label", "preview"))
 
 
 def write_fold_report(per_fold: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -85,4 +97,4 @@ def write_fold_report(per_fold: DataFrame, path: str, mode: str = "overwrite") -
     mean = per_fold.agg(F.lit(-1).alias("fold_id"), F.sum("n").alias("n"), F.sum("correct").alias("correct"),
                         F.avg("accuracy").alias("accuracy"))
     out = per_fold.select("fold_id", "n", "correct", "accuracy").unionByName(mean)
-    out.orderBy("fold_id").coalesce(1).write.mode(mode).option("header", True).csv(path)
+    out.orderBy(F.col("fold_id") < 0, "fold_id").coalesce(1).write.mode(mode).option("header", True).csv(path)

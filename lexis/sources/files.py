@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexis.functions.text import file_stem, slash_tag, slash_word, whitespace_split
+from lexis.operators.ordering import global_row_number
 from lexis.operators.sequences import sentences_from_lines
 
 ORDER = ["_block", "_row"]
@@ -51,11 +52,20 @@ def read_tagged_columns(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_tagged_flat(spark: SparkSession, paths) -> DataFrame:
-    """The same file as one flat token stream ``file, _block, _row, word,
-    tag`` (order columns kept for a positional zip)."""
-    lines = read_lines(spark, paths).where(F.col("line") != "")
-    f = whitespace_split(F.col("line"))
-    return lines.select("file", *ORDER, F.element_at(f, 1).alias("word"), F.element_at(f, -1).alias("tag"))
+    """The same file as one flat token stream ``idx, word, tag``, ``idx`` its 1-based
+    position over all lines of all files."""
+    lines = read_lines(spark, paths).withColumn("f", whitespace_split(F.col("line"))).where(F.size("f") > 0)
+    return _positions(lines.select("file", *ORDER, F.element_at("f", 1).alias("word"), F.element_at("f", -1).alias("tag")),
+                      ["file", *ORDER])
+
+
+def read_slash_flat(spark: SparkSession, paths) -> DataFrame:
+    """S6 as one flat token stream ``idx, word, tag``."""
+    return _positions(read_slash_tags(spark, paths), ["file", *ORDER, "pos"])
+
+
+def _positions(tokens: DataFrame, order: list[str]) -> DataFrame:
+    return global_row_number(tokens, order, "idx").select("idx", "word", "tag")
 
 
 def read_sentences(spark: SparkSession, paths) -> DataFrame:

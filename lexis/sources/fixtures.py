@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from lexis.functions.text import MENTION_PATTERN, whitespace_split
 
-LINE_STRIDE = 100_000  # sent_id = doc_id * LINE_STRIDE + line number
+# sent_id = doc_id * LINE_STRIDE + line number.  A text has fewer than 2^31 bytes and
+# so fewer lines; an id of 2^32 or more overflows the product, which fails loudly.
+LINE_STRIDE = 1 << 31
 
 
 def is_eval(doc_col: str = "doc_id"):
@@ -39,7 +41,7 @@ def tag_rule(word, prev):
 
 
 def tagged_sentences(documents: DataFrame) -> DataFrame:
-    """F2 ``sent_id, pos, word, tag, is_train``: English documents, one sentence
+    """F2 ``sent_id, pos, word, tag, is_train``: all documents, one sentence
     per non-empty line, lower-cased whitespace words, rule tags."""
     s = tagged_sentence_arrays(documents)
     return (s.select("sent_id", "is_train", F.posexplode(F.arrays_zip("words", "tags")).alias("p0", "wt"))
@@ -50,7 +52,7 @@ def tagged_sentences(documents: DataFrame) -> DataFrame:
 def tagged_sentence_arrays(documents: DataFrame) -> DataFrame:
     """F2 in packed form ``sent_id, is_train, words array, tags array`` computed
     without a shuffle (the previous word is read from the same array)."""
-    lines = (_lines(documents.where(F.col("lang") == "en"))
+    lines = (_lines(documents)
              .select((F.col("doc_id") * LINE_STRIDE + F.col("line_no")).alias("sent_id"),
                      whitespace_split(F.lower("line")).alias("words"), (~is_eval()).alias("is_train"))
              .where(F.size("words") > 0))
@@ -63,10 +65,12 @@ def tagged_lines(documents: DataFrame) -> DataFrame:
     document is one file, sentences end with a blank line."""
     s = tagged_sentence_arrays(documents)
     body = s.select(F.col("sent_id"), F.posexplode(F.arrays_zip("words", "tags")).alias("p", "wt"))
-    rows = body.select((F.col("sent_id") / LINE_STRIDE).cast("bigint").alias("file"),
-                       "sent_id", F.col("p").cast("int").alias("p"),
-                       F.concat_ws(" ", "wt.words", "wt.tags").alias("line"))
-    blanks = s.select((F.col("sent_id") / LINE_STRIDE).cast("bigint").alias("file"), "sent_id",
+    file = F.shiftright("sent_id", 31).alias("file")
+    # every fourth line is padded with tabs
+    line = F.when(F.col("p") % 4 == 0, F.concat(F.lit("\t"), "wt.words", F.lit("\t"), "wt.tags", F.lit("\t"))) \
+        .otherwise(F.concat_ws(" ", "wt.words", "wt.tags"))
+    rows = body.select(file, "sent_id", F.col("p").cast("int").alias("p"), line.alias("line"))
+    blanks = s.select(file, "sent_id",
                       F.size("words").cast("int").alias("p"), F.lit("").alias("line"))
     return rows.unionByName(blanks)
 
@@ -76,7 +80,8 @@ def relations(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Data
 
     Variants (fixed rules on c_custkey): %7 repeats the nation mention, %11 adds
     a known /m/ word outside brackets, %13 an unknown one, %17 makes the object
-    id equal to the subject id, %19 writes the region mention without ``|``."""
+    id equal to the subject id, %19 writes the region mention without ``|``, %5
+    ends with a new entity."""
     k = F.col("c_custkey")
     cm = F.concat(F.lit("/m/c"), k.cast("string"))
     nm = F.concat(F.lit("/m/n"), F.col("n_nationkey").cast("string"))
@@ -93,6 +98,7 @@ def relations(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Data
         F.when(k % 7 == 0, F.concat(F.lit("near [[ "), F.col("n_name"), F.lit(" | "), nm, F.lit(" ]]"))),
         F.when(k % 11 == 0, F.concat(F.lit("via "), rm)),
         F.when(k % 13 == 0, F.concat(F.lit("via /m/z"), k.cast("string"))),
+        F.when(k % 5 == 0, F.concat(F.lit("for [[ AGENT | /m/a"), k.cast("string"), F.lit(" ]]"))),
     )
     pair = F.struct(
         F.struct(subj_name.alias("name"), cm.alias("mid")).alias("subject"),

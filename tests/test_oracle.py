@@ -36,8 +36,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
+    # what SQL can not express is tested against brute force in tests/llm
     missing = set(QUERIES) - set(ORACLES)
-    assert missing <= {"brill_train", "langid_stream"}, missing
+    assert all(n.startswith("op") or n == "pipeline" for n in missing), missing
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in ORACLES))

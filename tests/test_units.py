@@ -17,69 +17,56 @@ def _corpus(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, lang string, text string")
 
 
-def _py_scores(train, text, mode):
-    """Direct per-occurrence evaluation of the formulas (brute force)."""
-    units = list(text.replace("\n", ""))
-    def grams(s, n):
-        u = list(s.replace("\n", ""))
-        return [tuple(u[i:i + n]) for i in range(len(u) - n + 1)]
-    c = {n: {} for n in (1, 2, 3)}
-    for doc in train:
-        for n in (1, 2, 3):
-            for g in grams(doc, n):
-                c[n][g] = c[n].get(g, 0) + 1
-    T = sum(c[1].values())
-    if not units:
-        return None
-    masked = [u if (u,) in c[1] else "<UNK>" for u in units]
-    M = len(units)
-    if mode == "unsmoothed":
-        lp = sum(math.log2(c[1].get((u,), 1) / (T + 1)) for u in masked)
-    elif mode == "laplace":
-        V = len(c[2])
-        lp = sum(math.log2((c[2].get(tuple(masked[i:i + 2]), 0) + 1) / (c[1].get((masked[i],), 0) + V))
-                 for i in range(M - 1))
-    else:
-        L = [0, 0, 0]
-        for (x, y, z), c3 in c[3].items():
-            c1, c2 = c[1][(z,)], c[2][(y, z)]
-            p1 = (c1 - 1) / (T - 1) if T - 1 else 0
-            p2 = (c2 - 1) / (c[1][(y,)] - 1) if c[1][(y,)] - 1 else 0
-            p3 = (c3 - 1) / (c[2][(x, y)] - 1) if c[2][(x, y)] - 1 else 0
-            p, cs = [0, 0, 0], [0, 0, 0]
-            for k, (pk, ck) in enumerate(((p1, c1), (p2, c2), (p3, c3))):
-                p[k], cs[k] = pk, ck
-                for i in range(3):
-                    if p[i] == max(p):
-                        L[i] += cs[i]
-        lam = [v / sum(L) for v in L]
-        lp = 0.0
-        for i in range(M - 2):
-            x, y, z = masked[i:i + 3]
-            q = lam[0] * c[1].get((z,), 1) / (T + 1)
-            q += lam[1] * (c[2].get((y, z), 0) / c[1][(y,)] if c[1].get((y,), 0) else 0)
-            q += lam[2] * (c[3].get((x, y, z), 0) / c[2][(x, y)] if c[2].get((x, y), 0) else 0)
-            lp += math.log2(q)
-    return 2 ** (-lp / M)
-
-
-@pytest.mark.parametrize("mode", ["unsmoothed", "laplace", "interpolation"])
-def test_perplexity_against_brute_force(spark, mode):
-    train = {"a": ["abcabcab\nca", "cab"], "b": ["bbbcbbd", "dbdb"]}
-    rows = [(i, lang, t) for i, (lang, ts) in enumerate(sorted(train.items())) for t in ts]
-    model = lm.fit_ngram_model(_corpus(spark, [(i * 10 + j, lang, t) for i, (lang, ts) in enumerate(sorted(train.items()))
-                                               for j, t in enumerate(ts)]), "lang", "text")
-    evals = ["", "a", "ab", "abc", "zzab", "bbdx", "abc\nabc"]
-    ev = spark.createDataFrame(list(enumerate(evals)), "doc_id long, text string")
-    got = {(r.doc_id, r.model): r.perplexity for r in lm.perplexity(model, ev, mode).collect()}
-    for d, text in enumerate(evals):
-        for lang, docs in train.items():
-            want = _py_scores(docs, text, mode)
-            if want is None:
-                assert got[(d, lang)] is None
-            else:
-                assert got[(d, lang)] == pytest.approx(want, rel=1e-9), (mode, text, lang)
-    assert rows
+# Worked by hand for the model "ab", "aab" (units a a a b b: T = 5, c(a)=3, c(b)=2; bigrams
+# ab 2, aa 1: V = 2; trigram aab 1) and the model "bb" (T = 2, c(b)=2; bigram bb 1; V = 1).
+#
+# unsmoothed: p(u) = c(u)/(T+1), an unseen unit counts 1; text "ab": model 1
+# 3/6 * 2/6 = 1/6 -> 6^(1/2); model 2 a is unseen 1/3 * 2/3 = 2/9 -> (9/2)^(1/2).
+# laplace: p(b|a) = (c(ab)+1)/(c(a)+V) = 3/5 over M = 2 units -> (5/3)^(1/2); in model 2
+# <UNK> is unseen: (0+1)/(0+1) = 1 -> 1.
+HAND = {
+    ("unsmoothed", "ab", "one"): 6 ** 0.5, ("unsmoothed", "ab", "two"): 4.5 ** 0.5,
+    ("unsmoothed", "b", "one"): 3.0, ("unsmoothed", "b", "two"): 1.5,
+    ("unsmoothed", "b\na", "one"): 6 ** 0.5,
+    ("laplace", "ab", "one"): (5 / 3) ** 0.5, ("laplace", "ab", "two"): 1.0,
+    ("laplace", "bb", "one"): 4 ** 0.5, ("laplace", "bb", "two"): (3 / 2) ** 0.5,
+    # p(a|a) p(b|a) = 2/5 * 3/5 = 6/25 over 3 units
+    ("laplace", "aab", "one"): (25 / 6) ** (1 / 3),
+}
+
+
+def test_perplexity_of_hand_worked_cases(spark):
+    model = lm.fit_ngram_model(_corpus(spark, [(1, "one", "ab"), (2, "one", "aab"), (3, "two", "bb")]), "lang", "text")
+    texts = sorted({t for _, t, _ in HAND})
+    ev = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for mode in ("unsmoothed", "laplace"):
+        got = {(texts[r.doc_id], r.model): r.perplexity for r in lm.perplexity(model, ev, mode).collect()}
+        for (m, t, name), want in HAND.items():
+            if m == mode:
+                assert got[t, name] == pytest.approx(want, rel=1e-9), (m, t, name)
+
+
+def test_interpolation_of_a_hand_worked_case(spark):
+    """Model "aab": T = 3; one trigram aab with c1 = c(b) = 1, c2 = c(ab) = 1, c3 = 1.
+    p1 = 0/2 = 0; p2 = 0/(2-1) = 0; p3 = 0/(1-1) = 0: all tie in every vote.  With the running
+    vote order 1 wins 3 times... L1 = 1*(1+1+1) = 3, L2 = 1*(1+1) = 2, L3 = 1: 1/2, 1/3, 1/6.
+    p(b|aa) = 1/2 * 1/4 + 1/3 * 1/2 + 1/6 * 1 = 11/24 over 3 units."""
+    model = lm.fit_ngram_model(_corpus(spark, [(1, "m", "aab")]), "lang", "text")
+    r = model.lambdas().collect()[0]
+    assert (r.l1, r.l2, r.l3) == pytest.approx((1 / 2, 1 / 3, 1 / 6))
+    ev = spark.createDataFrame([(1, "aab")], "doc_id long, text string")
+    assert lm.perplexity(model, ev, "interpolation").collect()[0].perplexity == pytest.approx((24 / 11) ** (1 / 3))
+
+
+def test_more_models_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MODEL_BLOCK", 3)
+    rows = [(i, f"m{i}", "ab" * (i % 7 + 1) + "c" * (i % 5)) for i in range(8)]
+    model = lm.fit_ngram_model(_corpus(spark, rows), "lang", "text")
+    ev = spark.createDataFrame([(1, "abab"), (2, "cc")], "doc_id long, text string")
+    blocks = [tuple(r) for r in lm.identify_best(model, ev, "laplace").orderBy("doc_id").collect()]
+    long = lm.identify(lm.perplexity(model, ev, "laplace"), "laplace").orderBy("doc_id").collect()
+    assert blocks == [tuple(r) for r in long]
+    assert lm.perplexity(model, ev, "unsmoothed").count() == 16
 
 
 def test_short_texts_score_one(spark):
@@ -130,6 +117,24 @@ def test_tagged_file_blank_lines(spark, tmp_path):
     assert files.read_tagged_columns(spark, str(tmp_path / "open.txt")).count() == 0
 
 
+def test_tabs_at_line_ends(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("The\tDT\t\n\tfox NN\n\n")
+    s = files.read_tagged_columns(spark, str(tmp_path / "t.txt")).orderBy("pos").collect()
+    assert [(r.word, r.tag) for r in s] == [("The", "DT"), ("fox", "NN")]
+    (tmp_path / "s.txt").write_text("one two\n\t\n\u00a0three\u2003four\n", encoding="utf-8")
+    s = files.read_sentences(spark, str(tmp_path / "s.txt")).orderBy("_block", "_row").collect()
+    assert [r.words for r in s] == [["one", "two"], ["three", "four"]]
+
+
+def test_mention_without_id_hides_no_entity(spark):
+    rel = spark.createDataFrame([(1, "[[ Ann | /m/a ]] x [[ Paris ]] y [[ Bob | /m/b ]] z [[ Cy | /m/c ]]",
+                                  (("Ann", "/m/a"), ("Bob", "/m/b")))],
+                                "sent_id long, sentence string, pair struct<subject:struct<name:string,mid:string>,"
+                                "object:struct<name:string,mid:string>>")
+    assert [(r.role, r.mid) for r in mn.entity_roles(rel).orderBy("ord").collect()] == [
+        ("SUBJECT", "/m/a"), ("OBJECT", "/m/b"), ("ENTITY1", "/m/c")]
+
+
 def test_slash_tags_with_underscore_in_word(spark, tmp_path):
     (tmp_path / "t.txt").write_text("new_york_NNP is_VBZ\n\nok_JJ\n")
     r = files.read_slash_tags(spark, str(tmp_path / "t.txt")).orderBy("_block", "_row", "pos").collect()
