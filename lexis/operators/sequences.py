@@ -8,7 +8,7 @@ Packed form: ``(sent_id, words array, tags array)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.text import UNK, slash_encode, slash_tag, slash_word, whitespace_split
@@ -24,17 +24,20 @@ def sentences_from_lines(lines: DataFrame, file_col: str = "file", line_col="lin
     dropped (the reference never appends the open sentence); consecutive blanks
     make empty sentences, which have no rows in long form.  The first
     whitespace field is the word, the last the tag."""
-    order = [line_col] if isinstance(line_col, str) else list(line_col)
-    w = Window.partitionBy(file_col).orderBy(*order)
-    blank = (F.col(text_col) == "").cast("int")
-    x = lines.select(file_col, *order, text_col,
-                     (F.sum(blank).over(w.rowsBetween(Window.unboundedPreceding, 0)) - blank).alias("sent_no"),
-                     F.sum(blank).over(Window.partitionBy(file_col)).alias("n_closed"))
-    toks = x.where((F.col(text_col) != "") & (F.col("sent_no") < F.col("n_closed")))
+    order = [file_col, *([line_col] if isinstance(line_col, str) else line_col)]
+    x = lines.select(*order, text_col, (~F.col(text_col).rlike(r"\S")).cast("bigint").alias("_blank"))
+    # lines are numbered, and blank lines counted, over all files at once: a file
+    # of any size is spread over the range partitions
+    x = global_running_sum(x, order, "_blank", "_ended")
+    x = global_running_sum(x, order, None, "_line").cache()
+    per_file = x.groupBy(file_col).agg(F.min("_ended").alias("_first"), F.sum("_blank").alias("_closed"))
+    toks = (x.where("_blank = 0").join(per_file, file_col)
+            .withColumn("sent_no", F.col("_ended") - F.col("_first")).where("sent_no < _closed"))
+    begins = toks.groupBy("_ended").agg(F.min("_line").alias("_begin"))
     fields = whitespace_split(F.col(text_col))
-    return toks.select(
+    return toks.join(begins, "_ended").select(
         file_col, F.col("sent_no").cast("bigint").alias("sent_no"),
-        F.row_number().over(Window.partitionBy(file_col, "sent_no").orderBy(*order)).cast("int").alias("pos"),
+        (F.col("_line") - F.col("_begin") + 1).cast("int").alias("pos"),
         F.element_at(fields, 1).alias("word"), F.element_at(fields, -1).alias("tag"))
 
 
