@@ -25,7 +25,7 @@ from lexis.llm.bpe import byte_letters
 from lexis.llm.common import id_and_text, map_texts, per_worker
 from lexis.llm.pretokens import Cutter, WordCache, encode_texts
 
-CACHE = 100_000   # words whose encoding is kept per worker
+CACHE = 200_000   # words of a generation whose encoding is kept per worker
 
 
 class ByteLevel:
