@@ -39,9 +39,8 @@ class Bpe:
         import json
 
         import numpy as np
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(spec)   # cuts the texts that Cutter does not
+        self.text, self.cuts = spec, None
         spec = json.loads(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.suffix = end = spec["model"].get("end_of_word_suffix") or ""
@@ -206,13 +205,18 @@ class Bpe:
     def whole_to_ids(self, text: str):
         """Any text, cut by the tokenizer's own normalizer and pre-tokenizer."""
         import numpy as np
+        from tokenizers import Tokenizer
+
+        if self.cuts is None:   # loaded for the first such text
+            library = Tokenizer.from_str(self.text)
+            self.cuts = library.normalizer, library.pre_tokenizer
 
         out = []
         for part in self.cut_special.split(text):
             if part in self.special:
                 out.append(np.array([self.special[part]], np.uint32))
             elif part:
-                cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+                cut = self.cuts[1].pre_tokenize_str(self.cuts[0].normalize_str(part))
                 words = [bytes(map(self.byte.__getitem__, w)) for w, _ in cut if w]
                 distinct = list(dict.fromkeys(words))
                 ids = dict(zip(distinct, self.encode_words(distinct))) if distinct else {}

@@ -4,14 +4,14 @@ function over texts in Arrow batches whose size is bounded in bytes."""
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# texts handed to one call of a batch function: closed at this many characters
-CHUNK_CHARS = 4_000_000
+# texts handed to one call of a batch function: closed at this many bytes
+CHUNK_BYTES = 1_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,21 +38,36 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Slices ``[a, b)`` of ``texts`` of about ``limit`` characters; a longer text is
-    a slice of its own."""
-    a = size = 0
-    for i, t in enumerate(texts):
-        if i > a and size + len(t) > limit:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+def text_chunks(column, limit: int = CHUNK_BYTES):
+    """``(a, b, texts)``: slices of an Arrow string column of about ``limit`` bytes as lists;
+    a longer text is a slice of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    upto = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + limit, "right")))
+        yield a, b, column.slice(a, b - a).to_pylist()
+        a = b
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system: workers are reused, and what they
+    once needed would else stay with them."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # another C library
+        pass
 
 
 def map_texts(df: DataFrame, fields: list[T.StructField], setup: Callable[[], Callable[[list[str]], list]],
-              chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+              chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Every column of ``df`` but ``text``, plus ``fields`` computed from it.
 
     ``setup()`` runs once per task and returns ``f(texts) -> one list (or
@@ -68,25 +83,24 @@ def map_texts(df: DataFrame, fields: list[T.StructField], setup: Callable[[], Ca
 
         f = setup()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            for a, b in chunks(texts, chunk_chars):
-                out = f(texts[a:b])
+            for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index("text")), chunk_bytes):
+                out = f(texts)
                 arrays = [batch.column(batch.schema.get_field_index(k.name)).slice(a, b - a) for k in keep]
                 arrays += [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[x.name for x in schema.fields])
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
 def per_worker(key, make: Callable):
     """``make()`` once per Python worker process and key: tasks that follow in the
-    same worker find it again.  The last few keys are kept."""
+    same worker find it again.  Only the last key is kept, so memory stays bounded."""
     import pyspark
 
     held = pyspark.__dict__.setdefault("_lexis_held", {})
     if key not in held:
-        while len(held) >= 4:
-            held.pop(next(iter(held)))
+        held.clear()
         held[key] = make()
     return held[key]
 

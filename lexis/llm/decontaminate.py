@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexis.llm.common import chunks, col, id_and_text
+from lexis.llm.common import col, give_back, id_and_text, text_chunks
 from lexis.llm.words import byte_tables, word_hashes
 from lexis.session import ensure_checkpoint_dir
 
-SHARD_CHARS = 2_000_000          # text of a shard; a longer document is a shard of its own
+SHARD_BYTES = 2_000_000          # text of a shard; a longer document is a shard of its own
 BLOCK_BYTES = 16_000_000         # benchmark text sent to the tasks at once
 NEAR_TERMS = 5                   # rarest terms of an item that a proximity match needs
 SLOP = 60                        # words within which they stand
@@ -62,9 +62,9 @@ def build_index(docs: DataFrame, window: int = 10, id_col: str = "doc_id", text_
         tables = byte_tables()
         shard = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in chunks(texts, SHARD_CHARS):
-                words = [word_hashes(t.encode().lower(), tables) for t in texts[a:b]]
+            ids = batch.column(0)
+            for a, b, texts in text_chunks(batch.column(1), SHARD_BYTES):
+                words = [word_hashes(t.encode().lower(), tables) for t in texts]
                 n = np.array([len(w) for w in words], np.int64)
                 first = np.cumsum(n + window) - n - window
                 where = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -78,6 +78,7 @@ def build_index(docs: DataFrame, window: int = 10, id_col: str = "doc_id", text_
                 cols[2] = pa.array([row[2]], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema])
                 shard += 1
+        give_back()
 
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lexis-index-{uuid.uuid4().hex}"
     (id_and_text(docs, id_col, text_col).mapInArrow(run, schema)

@@ -160,7 +160,7 @@ def plain_hits(rows, items, window):
 def test_decontamination_equals_brute_force(spark, monkeypatch, block):
     from pyspark.sql import functions as F
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
-    monkeypatch.setattr(decontaminate, "SHARD_CHARS", 5000)
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 5000)
     rng = random.Random(4)
     items = [(i, words(rng, rng.choice([1, 2, 4, 5, 9]), "abc")) for i in range(30)] + [(3, "Q r, s-t"), (90, None), (91, ""), (None, "aa")]
     extra = [words(rng, 40, "abc") for _ in range(30)] + [f"x {t} y" for _, t in items if t] + ["q R s t"]
