@@ -28,12 +28,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexis.llm.common import col, id_and_text, map_texts, per_worker
+from lexis.llm.common import col, give_back, id_and_text, map_texts, per_worker, text_chunks
+from lexis.session import written
 
 BEFORE = b" the of and to in that is was for with as on by at from are this be "
 AFTER = b" when which there their "
@@ -41,9 +42,9 @@ PIECE = 48             # bytes of a window at most
 TOP = 3                # largest distances of a text that enter its score
 FIT_ORDINARY = 2500    # labelled rows of each class that fit the model, at most
 FIT_TOXIC = 1500
-FIT_CHARS = 20_000     # characters of such a row that train dictionaries
+FIT_BYTES = 12_000_000  # bytes of their whole texts for each class, at most
 ROUNDS = 4             # training rounds; the first two look for candidates
-CACHE = 300_000        # window distances kept per task
+CACHE = 150_000        # window distances kept per task
 
 
 @dataclass
@@ -122,8 +123,8 @@ def fit_rows(ordinary: list[str], toxic: list[str], calibrate: list[tuple[str, i
     prior = known / rows if rows else 0.0
     if not ordinary or not toxic:
         return ToxicityModel(prior=prior)
-    ord_w = [windows(t[:FIT_CHARS]) for t in ordinary]
-    tox_w = [windows(t[:FIT_CHARS]) for t in toxic]
+    ord_w = [windows(t) for t in ordinary]
+    tox_w = [windows(t) for t in toxic]
     ord_set = [dict.fromkeys(w) for w in ord_w]
     tox_set = [dict.fromkeys(w) for w in tox_w]
     base = _train([b"".join(w[i:i + 8]) for w in ord_w for i in range(0, max(1, len(w) - 8), 8)], ordinary_bytes)
@@ -177,7 +178,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic", fit_ordinary: int = FIT_ORDINARY, fit_toxic: int = FIT_TOXIC) -> ToxicityModel:
     """Fit on at most ``fit_ordinary`` + ``fit_toxic`` labelled rows, taken in the
     order of a hash of the id.  Only labelled ids travel to find them; their
-    texts are then fetched by one scan against that bounded id list.
+    texts are then fetched by one scan against that bounded id list.  Of these
+    rows, whole texts go to the driver in the same order while they fit into
+    FIT_BYTES per class; a row that does not fit any more is left out.
 
     An id whose crc32 leaves remainder 4 by 5 calibrates, 0 is held out by the
     caller, the rest train the dictionaries."""
@@ -188,8 +191,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = some[0].union(some[1])   # fit_ordinary + fit_toxic rows at most: safe to broadcast
     rows = (id_and_text(docs, id_col, text_col).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
             .dropDuplicates(["doc_id"])
-            .select("_y", F.expr(f"substring(text, 1, {FIT_CHARS})").alias("text"),
-                    (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).alias("_part"), "_h").collect())
+            .select("_id", "_y", "text", F.octet_length("text").alias("_n"),
+                    (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).alias("_part"), "_h"))
+    rows = written(rows, "labelled")
+    left, chosen = {0: FIT_BYTES, 1: FIT_BYTES}, []
+    for r in sorted(rows.select("_h", "_id", "_y", "_n").collect(), key=lambda r: (r["_h"], str(r["_id"]))):
+        if r["_n"] <= left[r["_y"]]:
+            left[r["_y"]] -= r["_n"]
+            chosen.append((r["_id"],))
+    kept = docs.sparkSession.createDataFrame(chosen, rows.select("_id").schema)
+    rows = rows.join(F.broadcast(kept), "_id").collect()   # two times FIT_BYTES at most
     rows.sort(key=lambda r: (r["_h"], r["text"]))
     train = [r for r in rows if r["_part"] != 4]
     return fit_rows([r["text"] for r in train if not r["_y"]], [r["text"] for r in train if r["_y"]],
@@ -227,9 +238,10 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
 def scorer(model: ToxicityModel):
     """The score as a column function, for filters that keep whole rows."""
-    @F.pandas_udf("double")
-    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def toxicity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judge = _judge(model)
-        for texts in batches:
-            yield pd.Series([judge(t)[0] for t in texts], dtype="float64")
+        for column in batches:
+            yield pa.array([judge(t)[0] for _, _, texts in text_chunks(column) for t in texts], pa.float64())
+        give_back()
     return toxicity
