@@ -102,14 +102,15 @@ def _char_counts_from_trigrams(src: DataFrame) -> DataFrame:
     bigram occurrence but a text's last one is the prefix of a trigram
     occurrence, and every unit but the last is the prefix of a bigram, so
       c2(xy) = sum_z c3(xyz) + [xy ends a text],  c1(x) = sum_y c2(xy) + [x ends a text];
-    the prefix sums run on the (small) aggregated tables and the text ends
-    add one row per text."""
-    tri = (explode_grams(src, ["model"], char_ngrams(F.col("t"), 3))
-           .groupBy("model", "gram").agg(F.count(F.lit(1)).alias("cnt")))
-    ends = src.select("model", F.length("t").alias("m"), F.substring("t", -2, 2).alias("e2"),
-                      F.substring("t", -1, 1).alias("e1"))
-    end2 = ends.where(F.col("m") >= 2).groupBy("model", F.col("e2").alias("gram")).agg(F.count(F.lit(1)).alias("cnt"))
-    end1 = ends.where(F.col("m") >= 1).groupBy("model", F.col("e1").alias("gram")).agg(F.count(F.lit(1)).alias("cnt"))
+    the prefix sums run on the (small) aggregated tables.  A text's last two grams
+    stand in the same array as its trigrams and are told by their length, so
+    the texts are read and exchanged once."""
+    m = F.length("t")
+    ends = F.filter(F.array(F.when(m >= 2, F.substring("t", -2, 2)), F.when(m >= 1, F.substring("t", -1, 1))),
+                    lambda g: g.isNotNull())
+    base = (explode_grams(src, ["model"], F.concat(char_ngrams(F.col("t"), 3), ends))
+            .groupBy("model", "gram").agg(F.count(F.lit(1)).alias("cnt"))).cache()
+    tri, end2, end1 = (base.where(F.length("gram") == n) for n in (3, 2, 1))
     bi = (tri.select("model", F.substring("gram", 1, 2).alias("gram"), "cnt").unionByName(end2)
           .groupBy("model", "gram").agg(F.sum("cnt").alias("cnt")))
     uni = (bi.select("model", F.substring("gram", 1, 1).alias("gram"), "cnt").unionByName(end1)
