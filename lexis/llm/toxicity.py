@@ -43,7 +43,7 @@ TOP = 3                # largest distances of a text that enter its score
 FIT_ORDINARY = 2500    # labelled rows of each class that fit the model, at most
 FIT_TOXIC = 1500
 FIT_BYTES = 12_000_000  # bytes of their whole texts for each class, at most
-ROUNDS = 4             # training rounds; the first two look for candidates
+ROUNDS = 6             # training rounds; the first two look for candidates
 CACHE = 150_000        # window distances kept per task
 
 
@@ -73,7 +73,7 @@ def _cost(content: bytes):
     whole = content + AFTER + BEFORE
     dic = z.ZstdCompressionDict(whole, dict_type=z.DICT_TYPE_RAWCONTENT)
     par = z.ZstdCompressionParameters(
-        window_log=18, hash_log=16, chain_log=17, search_log=4, min_match=4, target_length=32,
+        window_log=20, hash_log=17, chain_log=18, search_log=4, min_match=4, target_length=32,
         strategy=z.STRATEGY_BTLAZY2, write_content_size=0, write_checksum=0, write_dict_id=0,
         format=z.FORMAT_ZSTD1_MAGICLESS)
     dic.precompute_compress(compression_params=par)
@@ -113,7 +113,7 @@ def _top(distances: list[int]) -> list[float]:
 
 
 def fit_rows(ordinary: list[str], toxic: list[str], calibrate: list[tuple[str, int]],
-             ordinary_bytes: int = 65_536, toxic_bytes: int = 8_192, novelty: float = 0.3,
+             ordinary_bytes: int = 65_536, toxic_bytes: int = 32_768, novelty: float = 0.3,
              alarm: int = 2) -> ToxicityModel:
     """Fit on texts held in memory (their number is bounded by the caller)."""
     import numpy as np
