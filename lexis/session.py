@@ -62,13 +62,3 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lexis-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()  # so the checkpoint write does not recompute the plan
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
