@@ -7,9 +7,12 @@ two words before it, with the shape class of the token, are its lexical
 pattern.  Spark scores the graph of patterns and instances for a few rounds:
 
 * a pattern's score for a kind is the mean score of its distinct instances,
-  reduced for patterns with few of them;
+  reduced for patterns with few of them; it counts if the mean is at least half;
 * an instance's score is the chance that one of its patterns is right.
 
+What one round finds scores the patterns of the next, so contexts that hold no
+seed are reached too, one step a round.
+
 Candidates that no base span covers are reported as ``<kind>_ctx`` if their score
 reaches the threshold.  Edges are distinct (pattern, instance) pairs that carry
 hashes, not text; both steps are sums with map-side aggregation, and hot
@@ -135,16 +138,15 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
         T.StructField("candidates", T.ArrayType(CANDIDATE))], setup), "pii")
     each = seen.where(F.size("candidates") > 0).select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     edges = written(each.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "graph")
-    # patterns that hold no seed or too few instances can not score
-    use = (edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count("kind").alias("seeds"))
-           .where(f"n >= {support} and seeds > 0").select("pattern", "n"))
+    # patterns with too few instances can not score; those without a seed can, once a round has found some of theirs
+    use = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {support}")
     edges = written(edges.join(use, "pattern"), "graph")
     seeds = edges.where("kind is not null").groupBy("instance", "kind").agg(F.lit(1.0).alias("score"))
     scores = seeds
     for r in range(rounds):
         patterns = (edges.drop("kind").join(scores, "instance").groupBy("pattern", "kind")
-                    .agg((F.sum("score") / F.max("n") * (F.max("n") / (F.max("n") + 1.0))).alias("trust"))
-                    .where("trust >= 0.5"))
+                    .agg((F.sum("score") / F.max("n")).alias("mean"), F.max("n").alias("n")).where("mean >= 0.5")
+                    .select("pattern", "kind", F.expr("mean * (n / (n + 1.0))").alias("trust")))
         fresh = (edges.where("kind is null").select("pattern", "instance").join(patterns, "pattern")
                  .groupBy("instance", "kind")
                  .agg((1.0 - F.exp(F.sum(F.log(F.greatest(F.lit(1.0) - F.col("trust"), F.lit(1e-6)))))).alias("score")))

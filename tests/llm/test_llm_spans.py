@@ -98,3 +98,28 @@ def test_contexts_find_unseen_identifiers(spark):
     found = {r["doc_id"]: r["found"] for r in pii.find_pii(df, threshold=0.7).collect()}
     assert [(s["start"], s["end"], s["kind"]) for s in found[8]] == [(16, 31, "email_ctx")]
     assert all(not found[i] for i in range(10) if i != 8)
+
+
+def contextual(spark, texts, **options):
+    """{row number: found parts of the text} of the rows that have any."""
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return {r["doc_id"]: [(texts[r["doc_id"]][s["start"]:s["end"]], s["kind"]) for s in r["found"]]
+            for r in pii.find_pii(df, **options).collect() if r["found"]}
+
+
+def test_found_identifiers_induce_patterns(spark):
+    known = [f"please write to user{i}@mail.example.com today" for i in range(60)]
+    first = [f"please write to nick{i}@corp today" for i in range(20)]
+    second = [f"ask our desk nick{i}@corp soon" for i in range(20)] + ["ask our desk zed5@corp soon"]   # no seed stands here
+    other = [f"see the page item{i}@9 there" for i in range(20)]
+    found = contextual(spark, known + first + second + other)
+    assert found == {60 + i: [(f"nick{i % 20}@corp", "email_ctx")] for i in range(40)} | {100: [("zed5@corp", "email_ctx")]}
+
+
+def test_pattern_with_as_many_unseen_as_seeds(spark):
+    known = [f"please write to user{i}@mail.example.com today" for i in range(10)]
+    unseen = [f"please write to nick{i}@corp today" for i in range(10)]
+    assert contextual(spark, known + unseen) == {10 + i: [(f"nick{i}@corp", "email_ctx")] for i in range(10)}
+    few = [f"ask our desk user{i}@mail.example.com soon" for i in range(4)] + [f"ask our desk nick{i}@corp soon" for i in range(8)]
+    assert contextual(spark, few) == {}
