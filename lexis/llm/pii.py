@@ -1,10 +1,10 @@
 """Personal data by patterns, and by bootstrapped contextual extraction.
 
 Regular expressions find the base identifiers (e-mail, IP address, card and
-phone number); they are the seeds.  Every token that looks like an identifier
-(it has a digit or an @) is a candidate, whether a pattern knows it or not; the
-two words before it, with the shape class of the token, are its lexical
-pattern.  Spark scores the graph of patterns and instances for a few rounds:
+phone number); they are the seeds.  Every base span is a candidate, and so is
+every token outside them that looks like an identifier (it has a digit or an @)
+and every sequence of digit groups with spaces between; the two words before it
+(fewer at a text's start), with its shape class, are its lexical pattern.  Spark scores the graph of patterns and instances for a few rounds:
 
 * a pattern's score for a kind is the mean score of its distinct instances,
   reduced for patterns with few of them; it counts if the mean is at least half;
@@ -43,7 +43,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
 EDGES = ".,;:!?\"'()[]{}<>"
-SHORT, LONG = 6, 64     # length of a candidate
+SHORT, LONG = 6, 64     # length of a candidate that no pattern knows
+LABEL = re.compile(r"[^\W\d_]\w*[:=]")     # glued to an identifier: tel:555-7713
+NUMBER = frozenset("0123456789+-()./ ")      # characters of a number in groups
+GROUPING = str.maketrans("", "", "+-()/ ")
+SPACES = " \xa0\u202f"     # between groups
 
 CANDIDATE = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("instance", T.LongType()),
@@ -88,26 +92,74 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _shape(core: str) -> str:
+    """The shape class of an identifier; however a number is grouped, it has one class."""
+    shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", core.lower()))
+    return re.sub("0+", "0", shape.translate(GROUPING))[:4] if NUMBER.issuperset(core) else shape[:4]
+
+
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple]:
-    """Identifier-like tokens: (start, end, instance, pattern, kind of the base span
-    that covers it or None)."""
+    """Identifiers: (start, end, instance, pattern, kind of the base span or None).
+    Each base span is one; so are the identifier-like tokens and the groups of digits with
+    spaces between them that no base span overlaps."""
     from xxhash import xxh64_intdigest
 
     signed = lambda s: xxh64_intdigest(s) - (1 << 63)
-    out, last, i = [], ("", ""), 0
+    out = []
+
+    def add(a, b, words, kind=None):
+        core = text[a:b]
+        out.append((a, b, signed(core.lower()), signed("\0".join((*words, _shape(core)))), kind))
+
+    def before(first, a, last):   # what is glued to an identifier is the word before it
+        glued = text[first:a].lower()
+        return (last[1], glued) if glued.strip(EDGES) else last
+
+    group, words = [], ("", "")     # pieces of a number in sequence, the words before the first
+
+    def close():
+        if len(group) > 1 and SHORT <= group[-1][1] - group[0][0] <= LONG:
+            add(group[0][0], group[-1][1], words)
+        group.clear()
+
+    i, covered, last, ended = 0, 0, ("", ""), 0     # base spans begun, their furthest end; empty words: the text's start
     for m in TOKEN.finditer(text):
+        first, end = m.span()
+        overlaps, at = covered > first, first
+        while i < len(base) and base[i][0] < end:
+            a, b, kind = base[i]
+            add(a, b, before(max(at, min(covered, a)), a, last), kind)
+            covered = max(covered, b)
+            overlaps, i = True, i + 1
         word = m[0]
         core = word.strip(EDGES)
-        if SHORT <= len(core) <= LONG and ("@" in core or any(map(str.isdigit, core))):
-            a = m.start() + word.index(core)
+        if overlaps or not any(map(str.isdigit, core)) and "@" not in core:
+            close()
+        else:
+            a = first + word.index(core)
             b = a + len(core)
-            while i < len(base) and base[i][1] <= a:
-                i += 1
-            kind = next((k for s, e, k in base[i:i + 4] if s < b and e > a), None)
-            shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", core.lower()))[:4]
-            if all(last):
-                out.append((a, b, signed(core.lower()), signed("\0".join((*last, shape))), kind))
-        last = (last[1], word.lower())
+            label = LABEL.match(core)
+            rest = core[label.end():].strip(EDGES) if label else ""
+            if rest and (len(rest) >= SHORT or NUMBER.issuperset(rest)):
+                a = b - len(rest)
+                core = rest
+            context = before(first, a, last)
+            left, right = text[first:a], text[b:end]
+            if group and (left not in ("", "(") or text[ended:first].strip(SPACES)):
+                close()
+            if NUMBER.issuperset(core):
+                if not group:
+                    words = context
+                opened = "(" in left[-1:] and (right.startswith(")") or ")" in core)
+                group.append((a - opened, b + (opened and right.startswith(")"))))
+                if right not in ("", ")"):
+                    close()
+            else:
+                close()
+            if SHORT <= len(core) <= LONG:
+                add(a, b, context)
+        last, ended = (last[1], word.lower()), end
+    close()
     return out
 
 

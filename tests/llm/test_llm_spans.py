@@ -123,3 +123,39 @@ def test_pattern_with_as_many_unseen_as_seeds(spark):
     assert contextual(spark, known + unseen) == {10 + i: [(f"nick{i}@corp", "email_ctx")] for i in range(10)}
     few = [f"ask our desk user{i}@mail.example.com soon" for i in range(4)] + [f"ask our desk nick{i}@corp soon" for i in range(8)]
     assert contextual(spark, few) == {}
+
+
+def test_spaced_identifiers_have_lexical_contexts(spark):
+    phones = [f"you can call us at +1 ({100 + i}) 555-77{i + 10} now" for i in range(12)]
+    cards = [f"paid with visa card {4000 + i} 1111 1111 {c:04} then" for i in range(12) for c in range(10)
+             if pii.luhn(f"{4000 + i}11111111{c:04}")]
+    unseen = ["you can call us at (212) 555-7713, ok", "us at 212 555 77 13", "paid with visa card 4111 1111 1111 1112 then",
+              "there are 212 555 77 14 of it"]
+    assert contextual(spark, phones + cards + unseen) == {
+        24: [("(212) 555-7713", "phone_ctx")], 25: [("212 555 77 13", "phone_ctx")], 26: [("4111 1111 1111 1112", "card_ctx")]}
+
+
+def test_contexts_at_the_start_and_glued_labels(spark):
+    known = [f"user{i}@mail.example.com wrote" for i in range(10)] + [f"so tel:+1 ({100 + i}) 555-77{i + 10}" for i in range(10)]
+    assert contextual(spark, known + ["nick1@corp wrote", "so tel:555-7713."]) == {
+        20: [("nick1@corp", "email_ctx")], 21: [("555-7713", "phone_ctx")]}
+
+
+def test_candidates():
+    def parts(t):
+        return [(t[a:b], kind) for a, b, _, _, kind in pii.candidates(t, pii.base_spans(t))]
+    assert parts("call +1 (017) 555-7713, 4111 12") == [("+1 (017) 555-7713", "phone"), ("4111 12", None)]
+    assert parts("at 10.0.0.1, a@b.c; 12 34 56\n78") == [("10.0.0.1", "ip"), ("a@b.c", "email"), ("12 34 56", None)]
+    assert parts("x 12345678 87654321 y") == [("12345678", None), ("87654321", None), ("12345678 87654321", None)]
+    assert parts("<a@b.c,d@e.f> id=1234567 (12) 345") == [("a@b.c", "email"), ("d@e.f", "email"), ("1234567", None), ("1234567 (12) 345", None)]
+    for t in ("1 " * 100_000, "a@b.c," * 30_000, "(" * 100_000 + "1", "a:" * 100_000 + "1", "1" * 200_000, "+1 " * 60_000):
+        pii.candidates(t, pii.base_spans(t))
+
+
+def test_candidates_cover_the_base_spans():
+    rng = random.Random(9)
+    for _ in range(3000):
+        t = "".join(rng.choice(PII_BITS) for _ in range(rng.randint(0, 12)))
+        found = pii.candidates(t, base := pii.base_spans(t))
+        assert [(a, b, k) for a, b, _, _, k in found if k] == base
+        assert all(e <= a or s >= b for a, b, _, _, k in found if not k for s, e, _ in base), t
