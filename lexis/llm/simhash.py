@@ -70,8 +70,11 @@ def _fingerprints(texts: list[str], words: int, seed: int) -> list[int]:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                  seed: int = 42) -> DataFrame:
     """``doc_id, fp`` (signed 64 bits), a row per input row."""
-    return map_texts(id_and_text(docs, id_col, text_col), [T.StructField("fp", T.LongType())],
-                     lambda: lambda texts: [_fingerprints(texts, words, seed)])
+    return _printed(id_and_text(docs, id_col, text_col), words, seed)
+
+
+def _printed(src: DataFrame, words: int, seed: int) -> DataFrame:
+    return map_texts(src, [T.StructField("fp", T.LongType())], lambda: lambda texts: [_fingerprints(texts, words, seed)])
 
 
 def _masks(radius: int) -> list[int]:
@@ -102,28 +105,42 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-                    max_bits: int = 2, seed: int = 42) -> DataFrame:
-    """``doc_id, fp, component_id`` (the smallest id reachable over links)."""
-    prints = written(fingerprints(docs, id_col, text_col, words, seed), "simhash")
+def _with_least(prints: DataFrame, max_bits: int, least) -> DataFrame:
+    """``prints`` (a written table) with ``component_id``: the smallest of the aggregate ``least``
+    of all fingerprints reachable over links."""
     joined = connected_components(links(prints, max_bits)).select(
         F.col("node").alias("fp"), F.col("component").alias("group"))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classes = prints.groupBy("fp").agg(least.alias("least"))
     classes = classes.join(joined, "fp", "left").select("fp", "least", F.coalesce("group", "fp").alias("group"))
     smallest = classes.groupBy("group").agg(F.min("least").alias("component_id"))
     # one row per distinct fingerprint; a hot fingerprint is hot on one side only
     by_print = classes.join(smallest, "group").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(by_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                    max_bits: int = 2, seed: int = 42) -> DataFrame:
+    """``doc_id, fp, component_id`` (the smallest id reachable over links)."""
+    prints = written(fingerprints(docs, id_col, text_col, words, seed), "simhash")
+    return _with_least(prints, max_bits, F.min("doc_id")).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
              max_bits: int = 2, seed: int = 42) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's smallest; rows that repeat
-    id and text count once.  Rows with a null id are kept."""
-    found = near_duplicates(docs, id_col, text_col, words, max_bits, seed)
-    g = free_name(docs, "_gone")
-    gone = found.where("doc_id > component_id").select(F.col("doc_id").alias(g)).distinct()
-    n = free_name(docs, "_copy")
-    kept = docs.join(gone, col(id_col) == F.col(g), "left_anti")
-    same = Window.partitionBy(col(id_col), F.xxhash64(col(text_col))).orderBy(F.xxhash64(col(text_col)))
-    return kept.withColumn(n, F.row_number().over(same)).where(col(n) == 1).drop(n)
+    """One row of ``docs`` per component: the one with its smallest id, and of rows
+    that share this id and differ in text the one with the smallest key; rows that
+    repeat id and text count once.  Rows with a null id are kept."""
+    k1, k2, n = (free_name(docs, x) for x in ("_k1", "_k2", "_copy"))
+    # a row's key is a hash of id and text: an id can stand at several texts
+    keyed = docs.select("*", F.xxhash64(col(id_col), col(text_col)).alias(k1),
+                        F.xxhash64(F.lit(1), col(id_col), col(text_col)).alias(k2))
+    src = keyed.select(col(id_col).alias("doc_id"), F.col(k1).alias("k1"), F.col(k2).alias("k2"),
+                       F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+    prints = written(_printed(src, words, seed), "simhash")
+    row = F.struct("doc_id", "k1", "k2")
+    found = _with_least(prints, max_bits, F.min(F.when(F.col("doc_id").isNotNull(), row)))
+    gone = found.where(F.col("doc_id").isNotNull() & (row != F.col("component_id"))).select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct()
+    kept = keyed.join(gone, [k1, k2], "left_anti")
+    same = Window.partitionBy(k1, k2).orderBy(k1)
+    return kept.withColumn(n, F.row_number().over(same)).where(F.col(n) == 1).drop(n, k1, k2)

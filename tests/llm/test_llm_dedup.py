@@ -75,6 +75,16 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_simhash_tells_rows_that_share_an_id_apart(spark):
+    rng = random.Random(5)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    # 5 is the smallest of group a and not of group b; c is clean; both copies of d share an id
+    rows = [(3, b), (5, a), (5, b), (5, c), (6, a), (7, a), (8, d), (8, d.upper()), (8, d), (None, d), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = [(r["doc_id"], r["text"].lower()) for r in simhash.keep_one(docs).collect()]
+    assert expect(got) == expect([(3, b), (5, a), (5, c), (8, d), (None, a), (None, d)])
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, x) for x in range(2, 40)] + [(500, 501), (501, 502), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
