@@ -109,3 +109,13 @@ def test_main_text_of_every_test_page(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
     assert len(got) == df.count()
+
+
+def test_main_text_of_interrupted_unmarked_pages():
+    long, menu = "A long part of the text. " * 40, "<ul>" + "<li><a href=x>Some title</a> 3 min</li>" * 5 + "</ul>"
+    cases = {
+        f"{menu}<div><p>{long}</p></div>{menu}<p>A short close.</p>{menu}": f"{long.strip()}\nA short close.",
+        f"<p>{long}</p><div class=ad><p>buy</p><p>now</p><p>here</p></div><p>One.</p>{menu}<p>End.</p>": f"{long.strip()}\nOne.\nEnd.",
+        f"<p>{long}</p><p>See <a href=1>this long title</a> and <a href=2>that one</a>.</p>": f"{long.strip()}\nSee this long title and that one.",
+    }
+    assert {h: mainpage.main_text(h) for h in cases} == cases
