@@ -11,7 +11,9 @@ of 2^k lines name it for any L.
 A run of consecutive lines that stands earlier in the corpus too (at a smaller
 document id, or further up in the same document) and has ``min_words`` words
 or more is a later copy; all lines of such runs are deleted, the first copy
-stays.  Shorter repeats (a greeting, a heading) stay everywhere.
+stays.  Shorter repeats (a greeting, a heading) stay everywhere.  A later copy
+may overlap the first: periodic lines of one document collapse, and what is left
+of the first copy is what stands before the second one's start.
 
 Two kinds of runs suffice to find every line of every maximal run: for each
 line, the shortest run of ``min_words`` words that starts there, and the
