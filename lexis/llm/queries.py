@@ -115,3 +115,12 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return mainpage.extract(read(spark, sf_dir, "pages")).select(
         "page_id", "url", F.col("main").alias("text"), F.length("main").cast("long").alias("n_chars"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's groups and links between two tokenizers' ids."""
+    from lexis.llm import alignment
+
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"), derive={"groups_sha256": digest})
