@@ -124,3 +124,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
     return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
                            tokenizer_path("piece_bpe_32k.model"), derive={"groups_sha256": digest})
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, per language, in all orders."""
+    from lexis.llm import filteraudit
+
+    return filteraudit.audit(filteraudit.flags(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"))

@@ -49,6 +49,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM near) WHERE rank <= 10
 """
 
+AUDIT = """
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+             regexp_matches(text, '[#$%&*|]'),
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM w),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS bad
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT part, fails, coalesce(good, false) AS good, coalesce(bad, false) AS bad FROM f LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM d GROUP BY ALL),
+i AS (SELECT unnest(range(1, 6)) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, i.i AS step, array_to_string(list_transform(o, lambda k: chr(CAST(64 + k AS INTEGER))), '') AS filter_order,
+             o[i.i] AS k, o[:i.i - 1] AS earlier FROM o, i),
+x AS (SELECT part, filter_order, step, k, n, good, bad, fails, fails[k] AS hit,
+             len(list_filter(earlier, lambda e: fails[e])) > 0 AS gone FROM m, s),
+r AS (SELECT part, filter_order, step, any_value(k) AS k, sum(n) FILTER (NOT hit AND NOT gone) AS kept,
+             sum(n) FILTER (hit AND NOT gone) AS removed, sum(n) FILTER (hit AND gone) AS redundant,
+             sum(n) FILTER (hit AND len(list_filter(fails, lambda b: b)) = 1) AS unique_fails,
+             sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(bad) FILTER (hit AND NOT gone) AS toxic_lost
+      FROM x GROUP BY part, filter_order, step)
+"""
+
 SQL: dict[str, str] = {
     "op3_neighbours": NEIGHBOURS,
     "op5_decontaminate": DECONTAMINATE + """
@@ -59,5 +84,14 @@ FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
 """,
     "op8_line_dedup": LINES + """
 SELECT doc_id, CAST(n_deleted AS BIGINT) AS n_deleted, deleted, sha256(text) AS text_sha256 FROM final
+""",
+    "op13_filter_audit": AUDIT + """
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r
 """,
 }
