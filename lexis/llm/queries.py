@@ -131,3 +131,11 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm import filteraudit
 
     return filteraudit.audit(filteraudit.flags(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"))
+
+
+def op11_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    from lexis.llm import weighted
+
+    found = weighted.edited(read(spark, sf_dir, "documents"), derive={"edited_sha256": F.sha2("edited", 256)})
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
