@@ -20,6 +20,7 @@ columns.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,17 @@ MODE_ORDER = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
 MODEL_BLOCK = 256  # models scored side by side in columns; more models are scored in several blocks
 
 
+class ScoreTerms(NamedTuple):
+    """log p(document | model) = sum over the document's ``grams`` of the model's ``w`` (0 if the
+    model has not seen the gram) + ``n_occ`` * the model's ``log_unseen``."""
+
+    docs: DataFrame        # doc_id, m, and the units that ``grams`` reads
+    grams: Column
+    weights: DataFrame     # model, gram, w
+    per_model: DataFrame   # model, log_unseen
+    n_occ: Column
+
+
 @dataclass
 class NgramModel:
     grams: DataFrame
@@ -207,7 +219,9 @@ def _finish(rows: DataFrame, per_model: DataFrame, n_occ: Column) -> DataFrame:
                       perplexity_from(logprob, F.col("m")).alias("perplexity"))
 
 
-def _score(docs, grams, weights, names, per_model, n_occ, best: str | None):
+def _score(model: NgramModel, terms: ScoreTerms, best: str | None):
+    docs, grams, weights, per_model, n_occ = terms
+    names = _model_names(model)
     if not best:
         return _finish(_score_rows(docs, grams, weights, names), per_model, n_occ)
     found = [_best_in_row(_score_sums(docs, grams, weights, block), block, per_model, n_occ, best)
@@ -223,10 +237,14 @@ def _score(docs, grams, weights, names, per_model, n_occ, best: str | None):
 def score_unsmoothed(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text",
                      best: str | None = None) -> DataFrame:
     """C2 + C4 + C7: p(u) = c(u)/(T+1); an unseen unit counts 1 (``<UNK>``)."""
+    return _score(model, _unsmoothed_terms(model, eval_df, doc_col, text_col), best)
+
+
+def _unsmoothed_terms(model, eval_df, doc_col, text_col) -> ScoreTerms:
     docs = _doc_units(eval_df, model, doc_col, text_col)
     weights = _gram_table(model, 1, "gram", "cnt").select("model", "gram", F.log2("cnt").alias("w"))
     per_model = model.stats.select("model", (-F.log2(F.col("n_units") + 1)).alias("log_unseen"))
-    return _score(docs, model.eval_grams(1), weights, _model_names(model), per_model, F.col("m"), best)
+    return ScoreTerms(docs, model.eval_grams(1), weights, per_model, F.col("m"))
 
 
 def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_col="text", n: int = 2,
@@ -235,6 +253,10 @@ def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_
 
     log p summed over occurrences = sum_seen log2(c(h,u)+1)
         - sum_{h seen} (log2(c(h)+V) - log2 V) - n_occ * log2 V."""
+    return _score(model, _laplace_terms(model, eval_df, doc_col, text_col, n), best)
+
+
+def _laplace_terms(model, eval_df, doc_col, text_col, n: int = 2) -> ScoreTerms:
     docs = _doc_units(eval_df, model, doc_col, text_col)
     v = model.stats.select("model", F.col({2: "n_bigrams", 3: "n_trigrams"}[n]).alias("v"))
     g = model.grams.where(F.col("n").isin(n, n - 1)).join(v, "model")
@@ -245,8 +267,7 @@ def score_laplace(model: NgramModel, eval_df: DataFrame, doc_col="doc_id", text_
     hist = model.eval_grams(n - 1)
     grams = F.concat(model.eval_grams(n), F.slice(hist, 1, F.greatest(F.size(hist) - 1, F.lit(0))))
     per_model = v.select("model", (-log2_or_null(F.col("v"))).alias("log_unseen"))
-    return _score(docs, grams, weights, _model_names(model), per_model,
-                  F.greatest(F.col("m") - (n - 1), F.lit(0)), best)
+    return ScoreTerms(docs, grams, weights, per_model, F.greatest(F.col("m") - (n - 1), F.lit(0)))
 
 
 def interpolation_weights(model: NgramModel, vote: str = "running") -> DataFrame:
@@ -336,14 +357,25 @@ def score_interpolation(model: NgramModel, eval_df: DataFrame, doc_col="doc_id",
 
     If z is unseen, so are yz and xyz, and p = l1/(T+1): a per-model constant.
     The probability table is built once for the distinct evaluation trigrams."""
+    return _score(model, _interpolation_terms(model, eval_df, doc_col, text_col, vote), best)
+
+
+def _interpolation_terms(model, eval_df, doc_col, text_col, vote: str = "running") -> ScoreTerms:
     docs = _doc_units(eval_df, model, doc_col, text_col)
     distinct_keys = explode_grams(docs, ["doc_id"], model.eval_grams(3)).select("gram").distinct()
     weights = interpolated_probability_table(model, distinct_keys, vote)
     lam = model.lambdas(vote)
     per_model = (model.stats.join(lam, "model")
                  .select("model", log2_or_null(F.col("l1") / (F.col("n_units") + 1)).alias("log_unseen")))
-    return _score(docs, model.eval_grams(3), weights, _model_names(model), per_model,
-                  F.greatest(F.col("m") - 2, F.lit(0)), best)
+    return ScoreTerms(docs, model.eval_grams(3), weights, per_model, F.greatest(F.col("m") - 2, F.lit(0)))
+
+
+def score_terms(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id", text_col="text") -> ScoreTerms:
+    """What a smoothing mode's score is made of."""
+    terms = {"unsmoothed": _unsmoothed_terms, "laplace": _laplace_terms, "interpolation": _interpolation_terms}
+    if mode not in terms:
+        raise ValueError(f"unknown mode {mode!r}")
+    return terms[mode](model, eval_df, doc_col, text_col)
 
 
 def perplexity(model: NgramModel, eval_df: DataFrame, mode: str, doc_col="doc_id", text_col="text") -> DataFrame:
@@ -420,5 +452,5 @@ def rare_word_replace(corpus: DataFrame, model_col: str = "model", text_col: str
 __all__ = [
     "NgramModel", "fit_ngram_model", "score_unsmoothed", "score_laplace", "score_interpolation",
     "interpolation_weights", "perplexity", "identify", "identification_report", "identification_accuracy",
-    "oov_rate", "rare_word_replace",
+    "oov_rate", "rare_word_replace", "ScoreTerms", "score_terms",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.operators import langmodel as lm
+from lexis.operators import manymodels
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
 
@@ -106,6 +107,15 @@ def rare_words(spark, sf_dir):
                  F.sum((F.col("out") == "<UNK>").cast("int")).cast("bigint").alias("n_unk")))
 
 
+def langid_topk(spark, sf_dir):
+    """C8 over many models: one per language and source, the 3 best of each evaluation document."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.concat_ws("/", "lang", "source").alias("model"), fx.is_eval().alias("is_eval"))
+    fitted = lm.fit_ngram_model(docs.where("not is_eval"), "model", "text", (1, 2, 3))
+    found = manymodels.identify_top(fitted, docs.where("is_eval"), "laplace", k=3, block=8)
+    return found.select("doc_id", "rank", "model", F.round("perplexity", 4).alias("perplexity"))
+
+
 QUERIES = {
     "char_ngram_counts": char_ngram_counts,
     "model_stats": model_stats,
@@ -118,6 +128,7 @@ QUERIES = {
     "langid_best_unsmoothed": _best("unsmoothed"),
     "langid_best_laplace": _best("laplace"),
     "langid_best_interpolation": _best("interpolation"),
+    "langid_topk": langid_topk,
     "langid_confusion": langid_confusion,
     "word_ngram_counts": word_ngram_counts,
     "lm_ppl_word_laplace": lm_ppl_word_laplace,

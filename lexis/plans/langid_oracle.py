@@ -152,6 +152,14 @@ for _m in ("unsmoothed", "laplace", "interpolation"):
     SQL[f"langid_best_{_m}"] = (f"WITH {F1}, {_with_ppl(_m)}, {_best(_m)} "
                                 f"SELECT doc_id, model, perplexity, n FROM best_{_m}")
 
+# one model per language and source: the same SQL over another model column
+SQL["langid_topk"] = (
+    "WITH docs AS (SELECT doc_id, text, concat_ws('/', lang, source) AS lang FROM documents), "
+    + F1.replace("FROM documents)", "FROM docs)").lstrip() + ", " + PPL["laplace"] + """
+SELECT doc_id, CAST(rk AS INTEGER) AS rank, model, round(perplexity, 4) AS perplexity
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(perplexity, 4), model) AS rk FROM ppl
+      WHERE perplexity IS NOT NULL) WHERE rk <= 3""")
+
 SQL["langid_confusion"] = (
     f"WITH {F1}, " + ", ".join(_with_ppl(m) + ", " + _best(m) for m in ("unsmoothed", "laplace", "interpolation"))
     + """
