@@ -7,8 +7,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexis.functions.text import char_units, word_units
 from lexis.operators import langmodel as lm
-from lexis.operators import manymodels
+from lexis.operators import manymodels, suffixgrams
+from lexis.operators.ngrams import WORD_SEP
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
 
@@ -107,6 +109,15 @@ def rare_words(spark, sf_dir):
                  F.sum((F.col("out") == "<UNK>").cast("int")).cast("bigint").alias("n_unk")))
 
 
+def ngram_counts_1_to_6(spark, sf_dir):
+    """C1 / W1 beyond trigrams: n-grams of 1 to 6 characters and words that occur twice and more, per language."""
+    docs = table(spark, sf_dir, "documents")
+    found = [suffixgrams.ngram_counts(docs, ["lang"], units(F.col("text")), 6, sep, min_count=2)
+             .select(F.lit(unit).alias("unit"), F.col("lang").alias("model"), "n", "gram", "cnt")
+             for unit, units, sep in (("char", char_units, ""), ("word", word_units, WORD_SEP))]
+    return found[0].unionByName(found[1])
+
+
 def langid_topk(spark, sf_dir):
     """C8 over many models: one per language and source, the 3 best of each evaluation document."""
     docs = table(spark, sf_dir, "documents").select(
@@ -129,6 +140,7 @@ QUERIES = {
     "langid_best_laplace": _best("laplace"),
     "langid_best_interpolation": _best("interpolation"),
     "langid_topk": langid_topk,
+    "ngram_counts_1_to_6": ngram_counts_1_to_6,
     "langid_confusion": langid_confusion,
     "word_ngram_counts": word_ngram_counts,
     "lm_ppl_word_laplace": lm_ppl_word_laplace,

@@ -207,3 +207,13 @@ c AS (SELECT lang, word, count(*) AS cnt FROM w GROUP BY ALL)
 SELECT w.doc_id, w.lang AS model, CAST(count(*) AS BIGINT) AS n_words,
        CAST(sum(CASE WHEN c.cnt <= 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_unk
 FROM w JOIN c USING (lang, word) GROUP BY ALL"""
+SQL["ngram_counts_1_to_6"] = r"""
+WITH t AS (SELECT lang, replace(text, chr(10), '') AS t, regexp_extract_all(text, '[^\s\x1C-\x1F\x{85}\p{Z}\x0B]+') AS w FROM documents),
+o AS (SELECT unnest(range(1, 7)) AS n),
+c AS (SELECT 'char' AS unit, lang, n, unnest(list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))) AS gram
+      FROM t, o WHERE length(t) >= n),
+v AS (SELECT 'word' AS unit, lang, n,
+             unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram
+      FROM t, o WHERE len(w) >= n)
+SELECT unit, lang AS model, CAST(n AS INTEGER) AS n, gram, count(*) AS cnt
+FROM (SELECT * FROM c UNION ALL SELECT * FROM v) GROUP BY ALL HAVING count(*) >= 2"""
