@@ -3,13 +3,18 @@
 Markup is stripped into lines (one per block element, in page order).  A line's
 weight is the length of its text, less what is link text; lines inside menus,
 headers, footers, sidebars, notices, adverts, forms and comments weigh nothing,
-and where a page marks its article, so do lines outside it.  Weights are summed
-over a sliding window of lines; where the sums surge from nothing a stretch of
-text begins, where they dive to nothing it ends.  Text is kept between the
-surge and dive points, in every stretch, short ones between or after others
-too.  A line that is link text by half or more weighs nothing, unless it ends as
-a sentence does; in a marked article links weigh like text, so there tags and
-classes alone decide.
+and where a page marks its article, tags and classes alone decide: lines outside it
+weigh nothing and all others stay.
+
+On other pages the lines with weight are taken together in blocks of ``WINDOW`` lines
+around each, and the weights of a block are added up.  Levels come from the page's own
+distribution, the length of the line that an average character stands in (``LONG`` at
+most): where the sums surge over half of it a stretch of text begins, and it goes on
+both ways to the points where they dive under a quarter of it.  At the ends of a stretch short
+lines that are neither headings above the text nor end as a sentence are cut off; what
+stands between two ends stays, and boxes that weigh nothing do not interrupt a
+stretch, so short closing parts stay.  A line that is link text by half or more weighs
+nothing, unless it ends as a sentence does.
 
 White space inside a line becomes one space, lines are joined by a line feed,
 character references are decoded.  Null and empty pages and pages without main
@@ -28,7 +33,9 @@ from pyspark.sql import types as T
 
 from lexis.llm.common import col, map_texts
 
-WINDOW = 3        # lines of a block
+WINDOW = 5              # lines of a block: a line and its neighbours
+SURGE, DIVE = 1 / 2, 1 / 4   # of the page's level
+LONG = 400              # a level is this at most: one huge line must not hide ordinary ones
 SENTENCE = tuple(".!?:;\u2026\u3002\uff01\uff1f\"'\u201d\u2019\xbb)")   # ends of a line of running text
 
 # fixed values of HTML
@@ -40,8 +47,9 @@ tbody td tfoot th thead tr ul""".split())
 ARTICLE = frozenset(("article", "main"))
 APART = frozenset("nav aside footer form dialog menu button fieldset head".split())
 ENDS_P = BLOCK - {"body", "html", "head"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
-             "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+             "td": ("td", "th"), "th": ("td", "th")}   # all of them blocks
 # words of class and id that mark what is not the article
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 MARKS = frozenset("""ad ads adv advert advertisement advertising adbox banner breadcrumb breadcrumbs comment comments
@@ -69,28 +77,34 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, length of its link text, stands apart, stands in an article)."""
-    out: list[tuple[str, int, bool, bool]] = []
+def lines(html: str) -> list[tuple[str, int, bool, bool, bool]]:
+    """(text, length of its link text, stands apart, stands in an article, is a heading)."""
+    out: list[tuple[str, int, bool, bool, bool]] = []
     stack: list[tuple[str, bool]] = []      # open elements: name, whether it stands apart
-    apart = articles = links = linked = 0
+    places: dict[str, list[int]] = {}       # where the open elements of a name stand
+    blocks: list[int] = []                  # where the open blocks stand
+    apart = articles = links = heads = linked = 0
     held: list[str] = []
 
     def close_line():
         nonlocal linked
         text = " ".join(unescape("".join(held)).split()) if held else ""
         if text:
-            out.append((text, min(linked, len(text)), apart > 0, articles > 0))
+            out.append((text, min(linked, len(text)), apart > 0, articles > 0, heads > 0))
         held.clear()
         linked = 0
 
     def leave(i: int):
-        nonlocal apart, articles, links
+        nonlocal apart, articles, links, heads
         while len(stack) > i:
             name, off = stack.pop()
+            places[name].pop()
+            if name in BLOCK:
+                blocks.pop()
             apart -= off
             articles -= name in ARTICLE
             links -= name == "a"
+            heads -= name in HEADINGS
 
     i, n = 0, len(html)
     while i < n:
@@ -119,13 +133,13 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         i = m.end()
         name, shut, attributes = m[2].lower(), m[1], m[3]
         if shut:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
             if name in BLOCK:
                 close_line()
-            if at >= 0 and (name in BLOCK or all(s[0] not in BLOCK for s in stack[at + 1:])):
-                leave(at)
+            if open_ := places.get(name):   # other elements end inside their block only
+                if name in BLOCK or not blocks or open_[-1] > blocks[-1]:
+                    leave(open_[-1])
         elif name in RAW:
-            k = html.lower().find(f"</{name}", i) if len(html) < 4096 else _find(html, name, i)
+            k = _find(html, name, i)
             i = n if k < 0 else (html.find(">", k) + 1 or n)
         elif name in VOID:
             if name in BLOCK:
@@ -135,19 +149,20 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         else:
             if name in BLOCK:
                 close_line()
-                ended = ("p",) if name in ENDS_P else ()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in ended or stack[k][0] in SAME_ENDS.get(name, ()):
-                        leave(k)
-                        break
-                    if stack[k][0] in BLOCK:
-                        break
+                if blocks:
+                    last = stack[blocks[-1]][0]
+                    if last == "p" and name in ENDS_P or last in SAME_ENDS.get(name, ()):
+                        leave(blocks[-1])
             if not attributes.endswith("/"):
                 off = _apart(name, attributes, articles > 0)
+                places.setdefault(name, []).append(len(stack))
+                if name in BLOCK:
+                    blocks.append(len(stack))
                 stack.append((name, off))
                 apart += off
                 articles += name in ARTICLE
                 links += name == "a"
+                heads += name in HEADINGS
     close_line()
     return out
 
@@ -157,29 +172,50 @@ def _find(html: str, name: str, i: int) -> int:
     return m.start() if m else -1
 
 
+def block_sums(weight: list[int]) -> list[int]:
+    """The weights of each line and its neighbours, added up."""
+    half = WINDOW // 2
+    upto = [0]
+    for w in weight:
+        upto.append(upto[-1] + w)
+    n = len(weight)
+    return [upto[min(n, i + half + 1)] - upto[max(0, i - half)] for i in range(n)]
+
+
+def page_level(weight: list[int]) -> float:
+    return min(LONG, sum(w * w for w in weight) / (sum(weight) or 1))
+
+
+def stretches(weight: list[int]) -> list[tuple[int, int]]:
+    """Stretches ``[start, end)`` of lines: sums over the surge level somewhere, over the dive level all along."""
+    level, sums = page_level(weight), block_sums(weight)
+    found, start, risen = [], None, False
+    for i in range(len(weight) + 1):
+        if i < len(weight) and sums[i] > DIVE * level:
+            start = i if start is None else start
+            risen |= sums[i] >= SURGE * level
+        else:
+            if risen:
+                found.append((start, i))
+            start, risen = None, False
+    return found
+
+
 def main_text(html: str) -> str:
     found = lines(html)
-    marked = any(inside and not apart for _, _, apart, inside in found)
-    weight = [0 if apart or marked and not inside else len(t) if marked else len(t) - linked if 2 * linked < len(t) or t.endswith(SENTENCE) else 0
-              for t, linked, apart, inside in found]
-    # sums over windows of lines; a stretch lasts from a surge to a dive
-    n = len(weight)
-    sums = [0] * n
-    total = 0
-    for i in range(n + WINDOW - 1):
-        total += weight[i] if i < n else 0
-        total -= weight[i - WINDOW] if i >= WINDOW else 0
-        if i >= WINDOW - 1:
-            sums[i - WINDOW + 1] = total
-    stretches, start = [], None
-    for i in range(n + 1):
-        on = i < n and sums[i] > 0
-        if on and start is None:
-            start = i
-        elif not on and start is not None:
-            stretches.append((start, i))
-            start = None
-    return "\n".join(found[i][0] for a, b in stretches for i in range(a, b) if weight[i])
+    if any(inside and not apart for _, _, apart, inside, _ in found):   # the page marks its article
+        return "\n".join(t for t, _, apart, inside, _ in found if inside and not apart)
+    heavy = [(t, len(t) - linked, head) for t, linked, apart, _, head in found
+             if not apart and (2 * linked < len(t) or t.endswith(SENTENCE) and linked < len(t))]
+    weight = [w for _, w, _ in heavy]
+    level, kept = page_level(weight), []
+    for a, b in stretches(weight):
+        text = [w > DIVE * level or t.endswith(SENTENCE) for t, w, _ in heavy[a:b]]
+        first, last = text.index(True) + a if any(text) else b, b - text[::-1].index(True) if any(text) else b
+        while first > a and heavy[first - 1][2]:    # headings above
+            first -= 1
+        kept += [t for t, _, _ in heavy[first:last]]
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

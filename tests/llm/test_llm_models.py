@@ -119,3 +119,33 @@ def test_main_text_of_interrupted_unmarked_pages():
         f"<p>{long}</p><p>See <a href=1>this long title</a> and <a href=2>that one</a>.</p>": f"{long.strip()}\nSee this long title and that one.",
     }
     assert {h: mainpage.main_text(h) for h in cases} == cases
+
+
+def test_block_sums_decide_on_unmarked_pages(monkeypatch):
+    long = "A long part of the text. " * 10
+    title, foot = "<div>Example Site</div>", "<div>Copyright 2024 Example Corp</div>"
+    far = "".join(f"<div>Notice {i}.</div>" for i in range(12))
+    page = f"{title}<h1>The heading</h1><p>{long}</p><h2>Part</h2><p>{long}</p><p>So it ends.</p>{foot}"
+    text = f"The heading\n{long.strip()}\nPart\n{long.strip()}\nSo it ends."
+    assert mainpage.main_text(page) == text
+    # short lines far from the text: below the dive level, although each ends as a sentence
+    assert "Notice 9" not in mainpage.main_text(page + far) and mainpage.main_text(page + far).startswith(text)
+    huge = f"<p>{long * 200}</p>" + f"<p>{long}</p>" * 3
+    assert mainpage.main_text(huge).count("\n") == 3
+    monkeypatch.setattr(mainpage, "block_sums", lambda weight: [10**6] * len(weight))
+    assert "Notice 9" in mainpage.main_text(page + far)
+
+
+def test_text_after_scripts_and_characters_that_grow_when_lower_cased():
+    page = f"<article><p>{'İ' * 20}</p><script>x</script><p>hello world</p><p>tail</p></article>"
+    for pad in (0, 5000):
+        assert mainpage.main_text(page + " " * pad) == f"{'İ' * 20}\nhello world\ntail"
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    n = 100_000
+    for page in ("<b>" * n + "</i>" * n, "<b>" * n + "<div></div>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<p>" * n + "x"):
+        began = time.process_time()
+        mainpage.main_text(page)
+        assert time.process_time() - began < 5
