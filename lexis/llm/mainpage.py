@@ -35,7 +35,7 @@ from lexis.llm.common import col, map_texts
 
 WINDOW = 5              # lines of a block: a line and its neighbours
 SURGE, DIVE = 1 / 2, 1 / 4   # of the page's level
-LONG = 400              # a level is this at most: one huge line must not hide ordinary ones
+LONG = 240              # a level is this at most: one huge line must not hide ordinary ones
 SENTENCE = tuple(".!?:;\u2026\u3002\uff01\uff1f\"'\u201d\u2019\xbb)")   # ends of a line of running text
 
 # fixed values of HTML

@@ -9,7 +9,10 @@ is above the k-th smallest upper bound can not be among the tile's k nearest;
 the others are computed again in double precision and merged by a heap.  A
 window over the tiles' results, pre-limited before the shuffle, keeps k.
 
-The result is exact: the bounds never drop a neighbour, whatever the data.
+The result is exact: the bounds never drop a neighbour.  A tile's vectors are scaled
+by a power of two before the bounds are computed and every distance by one of its own, so
+finite components of any size neither overflow nor vanish in a square; a distance that
+a double can not hold is infinite.
 
 Results for odd inputs: vectors that are null, empty, zero, or hold nulls, NaN
 or infinities take no part; vectors of another length are no candidates; rows
@@ -44,7 +47,27 @@ def _quantised(x):
 
     scale = float(np.abs(x).max()) / 127 or 1.0
     q = np.rint(x / scale).astype(np.int8).astype(np.float32 if x.shape[1] <= 1024 else np.float64)
-    return q, scale, np.sqrt(((x - q.astype(np.float64) * scale) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-300
+    # squares below 1e-300 vanish, hence the last summand
+    return q, scale, np.sqrt(((x - q.astype(np.float64) * scale) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-150
+
+
+def _scaled(q, r):
+    """Both matrices times the power of two that brings their largest component to 1 at most."""
+    import numpy as np
+
+    _, e = np.frexp(max(np.abs(q).max(initial=0), np.abs(r).max(initial=0)))
+    return np.ldexp(q, -e), np.ldexp(r, -e)
+
+
+def _distances(r, q):
+    """Euclidean distances of the rows of ``r`` to ``q``; a power of two taken out and put back
+    changes no digit."""
+    import numpy as np
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = r - q
+        _, e = np.frexp(np.abs(gap).max(axis=1, initial=0))
+        return np.ldexp(np.sqrt((np.ldexp(gap, -e[:, None]) ** 2).sum(axis=1)), e)
 
 
 def tile(qid, q, rid, r, k: int) -> list[tuple[int, int, float]]:
@@ -54,8 +77,9 @@ def tile(qid, q, rid, r, k: int) -> list[tuple[int, int, float]]:
     import numpy as np
 
     out = []
-    qq, qs, qe = _quantised(q)
-    rq, rs, re = _quantised(r)
+    small_q, small_r = _scaled(q, r)
+    qq, qs, qe = _quantised(small_q)
+    rq, rs, re = _quantised(small_r)
     q2 = (qq.astype(np.float64) ** 2).sum(axis=1) * qs * qs
     r2 = (rq.astype(np.float64) ** 2).sum(axis=1) * rs * rs
     dot = (qq @ rq.T).astype(np.float64) * (qs * rs)
@@ -68,8 +92,8 @@ def tile(qid, q, rid, r, k: int) -> list[tuple[int, int, float]]:
     low[own], high[own] = np.inf, np.inf
     limit = np.partition(high, k - 1, axis=1)[:, k - 1] if high.shape[1] > k else np.full(len(q), np.inf)
     for i in range(len(q)):
-        near = np.flatnonzero((low[i] <= limit[i] * (1 + 1e-12)) & ~own[i])
-        exact = np.sqrt(((r[near] - q[i]) ** 2).sum(axis=1))
+        near = np.flatnonzero(~(low[i] > limit[i] * (1 + 1e-12)) & ~own[i])
+        exact = _distances(r[near], q[i])
         out += [(int(qid[i]), n, d) for d, n in heapq.nsmallest(k, zip(exact.tolist(), rid[near].tolist()))]
     return out
 

@@ -149,3 +149,25 @@ def test_hostile_pages_take_linear_time():
         began = time.process_time()
         mainpage.main_text(page)
         assert time.process_time() - began < 5
+
+
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    rows = [(0, [1e160, 2e160]), (1, [1e160, 2e160]), (2, [1.0, 2.0]), (3, [1e-200, 0.0]), (4, [2e-200, 0.0]),
+            (5, [3e160, 2e160]), (6, [1.7e308, 1.0]), (7, [-1.7e308, 1.0]), (8, [1e-320, 0.0]), (9, [5e-200, 1e-210])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    from fractions import Fraction
+    from math import isqrt
+    got = {}
+    for r in neighbours.nearest(df, df, k=3).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(10))
+    scale = 10**400
+    for i, v in rows:
+        exact = [(isqrt(int(sum((Fraction(a) - Fraction(b))**2 for a, b in zip(v, w)) * scale**2)), j) for j, w in rows if j != i]
+        held = float(np.finfo(float).max)
+        d = sorted((x / scale if x <= int(held) * scale else float("inf"), j) for x, j in exact)
+        near = sorted(got[i])
+        for (_, j, s), (x, _) in zip(near, d):
+            assert s == x or abs(s - x) <= 1e-12 * x
+            assert abs(s - dict((j, x) for x, j in d)[j]) <= 1e-12 * s or s == float("inf")
+        assert all(a[2] < b[2] or a[1] < b[1] for a, b in zip(near, near[1:]))    # ties to the smaller id
