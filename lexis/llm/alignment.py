@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexis.llm.bpe import byte_letters
+from lexis.llm.bytelevel import ByteLevel
 from lexis.llm.common import give_back, id_and_text, per_worker, text_chunks
 from lexis.session import ensure_checkpoint_dir, written
 
@@ -41,8 +41,6 @@ TEXT_BYTES = 3_000_000   # text aligned at once
 RUN = 500            # segments encoded in one call
 PENDING = 1 << 21    # pairs a task counts before it merges them
 
-# byte-level pre-tokenizer of the A files that tiktoken can stand in for (a fixed pattern)
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NO_CUT = re.compile(r"\s ")            # a space that does not follow a visible character
 CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -54,7 +52,8 @@ class Aligner:
         import numpy as np
         import sentencepiece
 
-        self.encode_a, self.bytes_a = _byte_level(a_spec)
+        a = ByteLevel(a_spec, special=False)
+        self.encode_a, self.bytes_a = a.ids, a.bytes
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
@@ -143,36 +142,6 @@ class Aligner:
         return bad, order, counts, texts, codes, np.searchsorted(stretch, seg_end, "right")
 
 
-def _byte_level(spec: str):
-    """(text -> ids, bytes of every id) of a byte-level BPE file; special tokens' strings are plain text.
-
-    Where merges stand in the order of their tokens' ids and the pattern is the usual
-    one, tiktoken gives the same ids faster."""
-    import json
-
-    d = json.loads(spec)
-    byte = {c: b for b, c in enumerate(byte_letters())}
-    special = {t["content"] for t in d["added_tokens"]}
-    vocab = d["model"]["vocab"]
-    names = {i: bytes(map(byte.__getitem__, w)) for w, i in vocab.items() if w not in special}
-    table = [names.get(i, b"") for i in range(max(vocab.values()) + 1)]
-    pairs = [m.split(" ") if isinstance(m, str) else m for m in d["model"]["merges"]]
-    made = [vocab[x + y] for x, y in pairs]
-    pre = d["pre_tokenizer"]
-    if (made == sorted(set(made)) and len(made) + 256 == len(names) and d["normalizer"] is None
-            and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]):
-        import tiktoken
-
-        coder = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, special_tokens={},
-                                  mergeable_ranks={w: i for i, w in names.items()})
-        return coder.encode_ordinary, table
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_str(spec)
-    library.encode_special_tokens = True
-    return lambda text: library.encode(text, add_special_tokens=False).ids, table
-
-
 def _put_together(aligner: Aligner, texts: list[str]):
     """Per text: numbers of ids, groups and links, and groups; its distinct pairs and how often
     each is linked (flat arrays and their ends)."""

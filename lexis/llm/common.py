@@ -38,6 +38,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def range_count(df: DataFrame) -> int:
+    """Partitions for a shuffle of the whole of ``df``: as many as the session asks for, but
+    twice the splits it is read in at least, so their size does not grow with the input."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * df.rdd.getNumPartitions())
+
+
 def text_chunks(column, limit: int = CHUNK_BYTES):
     """``(a, b, texts)``: slices of an Arrow string column of about ``limit`` bytes as lists;
     a longer text is a slice of its own."""

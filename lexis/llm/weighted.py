@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexis.llm.common import give_back, id_and_text, map_texts, per_worker, text_chunks
+from lexis.llm.common import give_back, id_and_text, map_texts, per_worker, range_count, text_chunks
 from lexis.session import written
 
 SAMPLES = 64
@@ -171,10 +171,9 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every document with its edited text: ``doc_id, n_chars, edited, fingerprint, edited_fingerprint,
     near_edited, near_next``.  ``derive`` replaces ``edited`` by columns computed from it, so
     that the texts need not be stored."""
-    spark = docs.sparkSession
     derive = derive or {"edited": F.col("edited")}
     src = id_and_text(docs, id_col, text_col)
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * src.rdd.getNumPartitions())
+    ranges = range_count(src)
     src = src.withColumn("tie", F.xxhash64("text"))
     src = src.repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     results = [T.StructField("edited", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),
