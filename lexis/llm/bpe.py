@@ -80,8 +80,8 @@ class Bpe:
         self.longest = max(map(len, [*self.inner, *self.last]))
         self.byte = byte
         self.pair_ok: dict[int, bool] = {}
-        self.words = WordCache(CACHE)
-        self.cutter = Cutter(lower=True, special=list(self.special))
+        self.words, self.stretches = WordCache(CACHE), WordCache(CACHE // 4)
+        self.cutter = Cutter(special=list(self.special))
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def _crossed(self, a, b, until_a=None, until_b=None):
@@ -203,6 +203,12 @@ class Bpe:
             array("I", ids).tobytes() for ids in self.encode_words([w.encode() for w in missing])])
 
     def whole_to_ids(self, text: str):
+        """A stretch with any characters; short ones are kept."""
+        if len(text) > 40:
+            return self._whole(text)
+        return self.stretches.get_all([text], lambda missing: [self._whole(t) for t in missing])[0]
+
+    def _whole(self, text: str):
         """Any text, cut by the tokenizer's own normalizer and pre-tokenizer."""
         import numpy as np
         from tokenizers import Tokenizer

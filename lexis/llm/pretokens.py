@@ -1,9 +1,9 @@
 """Cutting texts into the words a BPE tokenizer merges, with array operations.
 
-Texts whose characters all lie below U+0300 (and keep there when lower-cased)
-are cut by character classes over whole batches; each distinct word of a batch
-is then looked at once.  Every other text takes the tokenizer's own normalizer
-and pre-tokenizer, so results never depend on these tables.
+Characters below U+0300 (that keep there when lower-cased) are cut by character
+classes over whole batches; each distinct word of a batch is then looked at once.
+Stretches between spaces that hold other characters take the tokenizer's own
+normalizer and pre-tokenizer, so results never depend on these tables.
 """
 
 from __future__ import annotations
@@ -18,21 +18,16 @@ SEED = 20_022
 
 
 class Cutter:
-    """Words of simple texts.
+    """Words of simple texts: lower-cased, without white space, numbers one by one."""
 
-    ``lower``: lower-case, drop white space, numbers one by one; else words keep
-    one space before them, numbers stay whole and white space forms words, as
-    byte-level tokenizers cut."""
-
-    def __init__(self, lower: bool, special: list[str]):
+    def __init__(self, special: list[str]):
         import unicodedata
 
         import numpy as np
 
-        to = [chr(i).lower() if lower else chr(i) for i in range(TOP)]
+        to = [chr(i).lower() for i in range(TOP)]
         odd = [i for i in range(TOP) if len(to[i]) != 1 or ord(to[i]) >= TOP
                or unicodedata.normalize("NFC", to[i]) != to[i]]
-        self.lower = lower
         self.map = np.array([ord(x) if i not in odd else 0 for i, x in enumerate(to)], np.uint16)
         white = {9, 10, 11, 12, 13, 32, 0x85, 0xA0}
         self.kind = np.array([SPACE if i in white else {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], OTHER)
@@ -43,8 +38,18 @@ class Cutter:
         self.value = np.random.default_rng(SEED).integers(0, 1 << 63, TOP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.up = self.down = np.zeros(0, np.uint64)
 
-    def simple(self, text: str) -> bool:
-        return self.not_simple.search(text) is None
+    def stretches(self, text: str):
+        """(part of the text, is it simple): parts border on a space, which no word holds."""
+        done = 0
+        while (m := self.not_simple.search(text, done)) is not None:
+            a, b = text.rfind(" ", done, m.start()) + 1, text.find(" ", m.end())
+            a, b = max(a, done), len(text) if b < 0 else b
+            if a > done:
+                yield text[done:a], True
+            yield text[a:b], False
+            done = b
+        if done < len(text):
+            yield text[done:], True
 
     @staticmethod
     def pieces(text: str):
@@ -78,13 +83,10 @@ class Cutter:
         begin[n:] = True
         edge = np.ones(n + 4, bool)
         edge[1:n] = kind[1:] != kind[:-1]
-        if self.lower:
-            edge[1:n] |= kind[1:] == NUMBER
+        edge[1:n] |= kind[1:] == NUMBER
         edge |= begin
         far = np.concatenate((code, np.zeros(4, np.uint16)))
         quote = np.flatnonzero((code == ord("'")) & edge[:n])
-        if not self.lower:                     # a space before goes with the quote
-            quote = quote[begin[quote] | (far[quote - 1] != ord(" "))]
         if len(quote):
             c1, c2 = far[quote + 1], far[quote + 2]
             two = np.isin(c1, [ord(c) for c in "stmd"]) & ~begin[quote + 1]
@@ -95,17 +97,12 @@ class Cutter:
             edge[quote[two | three] + 1] = False
             edge[quote[two] + 2] = True
             edge[quote[three] + 3] = True
-        if not self.lower:
-            last = np.flatnonzero((kind == SPACE) & edge[1:n + 1] & ~begin[1:n + 1])   # white space before a word
-            edge[last] = True
-            edge[last[code[last] == ord(" ")] + 1] = False
         edge[n] = True
         cuts = np.flatnonzero(edge[:n + 1])
         starts, ends = cuts[:-1], cuts[1:]
-        if self.lower:
-            word = kind[starts] != SPACE
-            starts, ends = starts[word], ends[word]
-        text = code.tobytes().decode("utf-16-le") if self.lower else joined
+        word = kind[starts] != SPACE
+        starts, ends = starts[word], ends[word]
+        text = code.tobytes().decode("utf-16-le")
         return text, starts, ends, np.searchsorted(starts, at), code
 
     def distinct(self, code, starts, ends):
@@ -161,18 +158,19 @@ class WordCache:
 
 def encode_texts(texts: list[str], cutter: Cutter, words_to_ids, whole_to_ids) -> list:
     """Ids (uint32 array) of every text.  ``words_to_ids(list of distinct words) ->
-    list of bytes`` (little-endian uint32), ``whole_to_ids(text) -> array``."""
+    list of bytes`` (little-endian uint32), ``whole_to_ids(stretch) -> array``."""
     import numpy as np
 
+    none = np.zeros(0, np.uint32)
     parts: list[list] = [[] for _ in texts]
-    batch: list[tuple[int, str]] = []
+    batch: list[tuple[list, int, str]] = []     # pieces, and where their ids belong
     held = 0
 
     def flush():
         nonlocal batch, held
         if not batch:
             return
-        joined, starts, ends, first_word, code = cutter.cut([p for _, p in batch])
+        joined, starts, ends, first_word, code = cutter.cut([p for *_, p in batch])
         if len(starts):
             first, inverse = cutter.distinct(code, starts, ends)
             ids = words_to_ids([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
@@ -184,19 +182,20 @@ def encode_texts(texts: list[str], cutter: Cutter, words_to_ids, whole_to_ids) -
             out = flat[np.repeat(off[inverse] - (upto - size), size) + np.arange(upto[-1])]
             upto = np.concatenate(([0], upto))
             bound = upto[np.append(first_word, len(starts))]
-            for k, (i, _) in enumerate(batch):
-                parts[i].append(out[bound[k]:bound[k + 1]])
+            for k, (part, i, _) in enumerate(batch):
+                part[i] = out[bound[k]:bound[k + 1]]
         batch, held = [], 0
 
-    for i, text in enumerate(texts):
-        if not cutter.simple(text):
-            parts[i].append(whole_to_ids(text))
-            continue
-        for p in cutter.pieces(text):
-            if held and held + len(p) > PIECE:
-                flush()
-            batch.append((i, p))
-            held += len(p)
+    for part, text in zip(parts, texts):
+        for stretch, simple in cutter.stretches(text):
+            if not simple:
+                part.append(whole_to_ids(stretch))
+                continue
+            for p in cutter.pieces(stretch):
+                if held and held + len(p) > PIECE:
+                    flush()
+                batch.append((part, len(part), p))
+                part.append(none)
+                held += len(p)
     flush()
-    none = np.zeros(0, np.uint32)
     return [np.concatenate(p) if len(p) > 1 else p[0] if p else none for p in parts]

@@ -11,7 +11,7 @@ import sentencepiece
 from llm_cases import empty_docs, odd_docs, odd_texts, pairs, words
 from tokenizers import Tokenizer
 
-from lexis.llm import alignment, queries
+from lexis.llm import alignment, bytelevel, queries
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["a ", " a", "  ", "a\n b  \n\n c \t d", "▁x", "<s> <|endoftext|> a </s>", "  x 　 y", "\x1c b \x1c  c", "a\r\nb \r c",
@@ -100,17 +100,18 @@ def test_a_long_text_and_small_chunks(spark, monkeypatch):
     assert got == plain([t or "" for t in texts])
 
 
-def test_other_byte_level_files_take_the_library(monkeypatch):
+def test_other_byte_level_files_take_the_library():
     import json
     spec = json.loads(open(A, encoding="utf-8").read())
     spec["pre_tokenizer"]["add_prefix_space"] = True
-    encode, table = alignment._byte_level(json.dumps(spec))
-    assert b"".join(table[i] for i in encode("one two")) == b" one two"
-    encode, _ = alignment._byte_level(open(A, encoding="utf-8").read())
+    other = bytelevel.ByteLevel(json.dumps(spec), special=False)
+    assert b"".join(other.bytes[i] for i in other.ids("one two")) == b" one two"
+    assert other.array("one two").tolist() == other.ids("one two")
+    usual = bytelevel.ByteLevel(open(A, encoding="utf-8").read(), special=False)
     lib = Tokenizer.from_file(A)
     lib.encode_special_tokens = True
     for t in corpus():
-        assert encode(t or "") == lib.encode(t or "", add_special_tokens=False).ids
+        assert usual.ids(t or "") == lib.encode(t or "", add_special_tokens=False).ids
 
 
 def test_empty_table(spark):

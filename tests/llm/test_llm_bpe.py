@@ -9,7 +9,7 @@ import pytest
 from llm_cases import empty_docs, expect, odd_docs, odd_texts, pairs
 from tokenizers import Tokenizer
 
-from lexis.llm import bpe, tokenfiles
+from lexis.llm import bpe, bytelevel, queries, tokenfiles
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["don't 's 're 'tre 'll''s !!'s '' '", "1 22 333a4", "Σίσυφος ΣΑΣ", "<|endoftext|>x<|startoftext|> <|endoftext|",
@@ -56,11 +56,11 @@ def test_both_ways_of_merging_agree(words_bpe, monkeypatch):
 
 
 def test_byte_bpe_equals_library():
-    coder = tokenfiles.ByteLevel(open(BYTE, encoding="utf-8").read())
+    coder = bytelevel.ByteLevel(open(BYTE, encoding="utf-8").read())
     lib = Tokenizer.from_file(BYTE)
     every = ODD + texts(2) + [f"a{chr(i)} {chr(i)}{chr(i)}b" for i in range(0x300)]
-    for t, ids, e in zip(every, coder.encode(every), lib.encode_batch(every, add_special_tokens=False)):
-        assert ids.tolist() == e.ids, repr(t)
+    for t, e in zip(every, lib.encode_batch(every, add_special_tokens=False)):
+        assert coder.array(t).tolist() == coder.ids(t) == e.ids, repr(t)
 
 
 def test_long_text_is_cut_safely(words_bpe):
@@ -70,7 +70,7 @@ def test_long_text_is_cut_safely(words_bpe):
     want = Tokenizer.from_file(WORD).encode(t, add_special_tokens=False).ids
     assert words_bpe.encode(["x", t, "y"])[1].tolist() == want
     want = Tokenizer.from_file(BYTE).encode(t, add_special_tokens=False).ids
-    assert tokenfiles.ByteLevel(open(BYTE, encoding="utf-8").read()).encode([t])[0].tolist() == want
+    assert bytelevel.ByteLevel(open(BYTE, encoding="utf-8").read()).array(t).tolist() == want
 
 
 def rows_of_odd(extra):
@@ -108,3 +108,51 @@ def test_token_files(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,12)]" in one._jdf.queryExecution().toString() and one.count() == 1
     tokenfiles.write_tokens(empty_docs(spark), BYTE, path + "-empty")
     assert pairs(tokenfiles.documents_of(spark, path + "-empty"), "doc_id") == []
+
+
+def test_rows_of_one_id_start_where_the_files_have_them(spark, tmp_path):
+    """Six texts under one id, among others, over several files."""
+    rng = random.Random(4)
+    rows = [(5, "w " * n) for n in (2, 10, 3, 31, 8, 4)] + [(i, "x " * rng.randint(0, 9)) for i in range(40)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 12)
+    try:
+        tokenfiles.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), BYTE, f"{tmp_path}/t")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = sorted({r[0] for r in spark.read.orc(f"{tmp_path}/t").select("_metadata.file_path").collect()})
+    stream, want = [], []
+    for f in files:
+        for r in spark.read.orc(f).collect():
+            want.append((r["doc_id"], len(stream), r["n_tokens"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())))
+            stream += r["ids"]
+    assert len(files) > 1 and len(want) == len(rows)
+    assert pairs(tokenfiles.documents_of(spark, f"{tmp_path}/t"), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(want)
+
+
+def test_a_few_odd_characters_leave_the_rest_to_the_fast_way(words_bpe, monkeypatch):
+    seen = []
+    monkeypatch.setattr(words_bpe, "_whole", lambda t, f=words_bpe._whole: (seen.append(t), f(t))[1])
+    text = "plain words of a text, “quoted once” and more — plain words <|endoftext|> to the end"
+    lib = Tokenizer.from_file(WORD)
+    for t in (text, text * 3, "“" + text, text + "”", "“ ” —"):
+        assert words_bpe.encode([t])[0].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert max(map(len, seen)) < 20
+
+
+def test_queries(spark, tmp_path):
+    import hashlib
+    rows = [(i, t) for i, t in enumerate([*odd_texts(), *ODD])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want, files, start = [], [], 0
+    for i, t in rows:
+        ids = word.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(word.decode(ids, skip_special_tokens=False).encode())))
+        ids = [*byte.encode(t or "", add_special_tokens=False).ids, 2]
+        files.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = queries.op2_bpe(spark, str(tmp_path))
+    assert pairs(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    assert pairs(queries.op4_token_files(spark, str(tmp_path)), "doc_id", "start", "n_tokens", "ids_crc32") == files
