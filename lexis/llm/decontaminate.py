@@ -17,6 +17,9 @@ The index is built and read shard by shard, without a shuffle; hot terms are
 long arrays, never a group.  The benchmark is sent to the tasks in blocks of
 measured size, however large it is; matches of several blocks are merged.
 
+Words count as equal if their 64-bit hashes are (see ``words``): a wrong hit needs ten of
+them in a row.
+
 Results for odd inputs: null and empty texts have no words and no hits; items
 without words and items with a null id have no windows; items that repeat an
 id count once; repeated documents each get their row; columns beside id and
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 
 from lexis.llm.common import col, give_back, id_and_text, text_chunks
 from lexis.llm.words import byte_tables, word_hashes
-from lexis.session import ensure_checkpoint_dir
+from lexis.session import ensure_checkpoint_dir, written
 
 SHARD_BYTES = 2_000_000          # text of a shard; a longer document is a shard of its own
 BLOCK_BYTES = 16_000_000         # benchmark text sent to the tasks at once
@@ -98,35 +101,36 @@ def _open(row):
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
     """The benchmark in lists of (id, text), each of about BLOCK_BYTES at most (but
-    for a single longer item): the number of blocks follows from the measured size."""
+    for a single longer item), and whether a list is the last: the number of blocks
+    follows from the measured size."""
     items = (benchmark.select(col(id_col).alias("item"), col(text_col).cast("string").alias("text"))
              .where("item is not null and text is not null").distinct())
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = size // BLOCK_BYTES + 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     for k in range(n):
-        yield [(r["item"], r["text"]) for r in items.where(part == k).collect()]
+        yield [(r["item"], r["text"]) for r in items.where(part == k).collect()], k == n - 1
 
 
 def _windows(block, window: int):
     """Distinct windows: matrix of terms (0-padded), their lengths, the items of
-    each; and the distinct terms of every item."""
+    each; and the distinct terms of every item text."""
     import numpy as np
 
     tables = byte_tables()
     found: dict[tuple, set] = {}
-    of_item: dict = {}
+    of_item = []
     for item, text in block:
         w = word_hashes(text.encode().lower(), tables).tolist()
         if w:
-            of_item.setdefault(item, {}).update(dict.fromkeys(w))
+            of_item.append((item, list(dict.fromkeys(w))))
         for i in range(max(1, len(w) - window + 1) if w else 0):
             found.setdefault(tuple(w[i:i + window]), set()).add(item)
     size = np.array([len(k) for k in found], np.int64)
     grid = np.zeros((len(found), window), np.uint64)
     for i, k in enumerate(found):
         grid[i, :len(k)] = k
-    return grid, size, [sorted(v) for v in found.values()], [(k, list(v)) for k, v in of_item.items()]
+    return grid, size, [sorted(v) for v in found.values()], of_item
 
 
 def _frequencies(index: DataFrame, terms) -> dict:
@@ -248,11 +252,13 @@ def find(index: DataFrame, benchmark: DataFrame, window: int = 10, item_col: str
          text_col: str = "text", slop: int = SLOP, near_terms: int = NEAR_TERMS) -> DataFrame:
     """``doc_id, n_words, n_hit, hits`` (word intervals ``[start, end)``), ``items`` and
     ``near_items`` (ids as strings, sorted) for every document of the index."""
-    parts = [_match(index, block, window, slop, near_terms) for block in _blocks(benchmark, item_col, text_col)]
-    found = parts[0]
-    if len(parts) > 1:   # the same documents once per block: merge what each block found
-        for p in parts[1:]:
-            found = found.union(p)
+    found, several = None, False
+    for block, last in _blocks(benchmark, item_col, text_col):
+        part = _match(index, block, window, slop, near_terms)
+        if not (last and found is None):   # written, so that the driver holds one block at a time
+            part = written(part, "matches")
+        several, found = found is not None, part if found is None else found.union(part)
+    if several:   # the same documents once per block: merge what each block found
         merge = F.udf(lambda lists: _merged([x for y in lists for x in y]), T.ArrayType(T.ArrayType(T.LongType())))
         found = (found.groupBy("shard", "place")
                  .agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),

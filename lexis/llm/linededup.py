@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from lexis.llm.common import col, free_name, map_texts
 from lexis.session import written
 
-IDX_BITS = 30    # of a line's number in its document (a text has less than 2^31 bytes)
+IDX_BITS = 26    # of a line's number in its document; the other 37 number documents; more of either is an error
 LINES = [T.StructField(n, T.ArrayType(t)) for n, t in (
     ("idx", T.IntegerType()), ("h1", T.LongType()), ("h2", T.LongType()), ("words", T.IntegerType()),
     ("ahead", T.IntegerType()), ("back", T.IntegerType()))]
@@ -109,9 +109,11 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     one = _dense(_ordered(one, ["doc_id", "k1", "k2"], "lines", "ord"), "ord")
 
     # a line's number among the lines with words: runs do not see blank lines
-    line = one.select(
-        "ord", F.posexplode(F.arrays_zip(*[f.name for f in LINES])).alias("i", "x")).select(
-        (F.shiftleft("ord", IDX_BITS) + F.col("i")).alias("pos"), "x.h1", "x.h2", "x.ahead", "x.back")
+    fits = (F.col("ord") < 1 << 63 - IDX_BITS) & (F.col("i") < 1 << IDX_BITS)
+    place = F.when(fits, F.shiftleft("ord", IDX_BITS) + F.col("i")).otherwise(
+        F.raise_error(F.lit("more documents or lines in one than a line's number holds")))
+    line = one.select("ord", F.posexplode(F.arrays_zip(*[f.name for f in LINES])).alias("i", "x")).select(
+        place.cast("long").alias("pos"), "x.h1", "x.h2", "x.ahead", "x.back")
     keys = line.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     keys = _ordered(keys, ["h1", "h2"], "ids", "rank")
     rows = written(line.join(keys, ["h1", "h2"]).select("pos", "ahead", "back", F.array("rank").alias("ranks")), "rank0")
@@ -143,8 +145,9 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
             .withColumn("then", F.expr("pos + len - shiftleft(1, k)"))
             .join(rank, F.col("then") == F.col("at")).select("pos", "len", "x", F.col("ranks")[F.col("k")].alias("y")))
     runs = written(runs, "runs")
-    interval = (runs.groupBy("len", "x", "y").agg(F.min("pos").alias("least"), F.count(F.lit(1)).alias("n"))
-                .where("n > 1").drop("n"))
+    # written, so that the join below deals out its sides anew and a run with very many copies can be split
+    interval = written(runs.groupBy("len", "x", "y").agg(F.min("pos").alias("least"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1").drop("n"), "intervals")
     later = (runs.join(interval, ["len", "x", "y"]).where("pos > least")
              .select(F.shiftright("pos", IDX_BITS).alias("ord"), "pos", (F.col("pos") + F.col("len") - 1).alias("last")))
     spans = later.groupBy("ord").agg(F.collect_set(F.struct("pos", "last")).alias("spans"))

@@ -100,7 +100,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document after deleting later copies of line runs of 50+ words."""
+    """Every document after deleting later copies of line runs of 50+ words; a later copy may
+    overlap the first, so lines that repeat in place collapse."""
     from lexis.llm import linededup
 
     out = linededup.dedup_lines(read(spark, sf_dir, "documents"), min_words=50, drop_empty=False)
