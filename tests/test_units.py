@@ -208,4 +208,16 @@ def test_unk_replacement(spark):
     ev = spark.createDataFrame([(9, 1, "a"), (9, 2, "b"), (9, 3, "zz")], "sent_id long, pos int, word string")
     out = {r.pos: r.model_word for r in sq.replace_rare(ev, counts, 1, unseen_too=True).collect()}
     assert out == {1: "a", 2: "<UNK>", 3: "<UNK>"}
-    assert F is not None
+
+
+def test_hmm_tags_with_bars_stay_apart(spark):
+    """``JJ|VBG`` after nothing and ``VBG|NN`` after ``JJ``: joined names would collide."""
+    from lexis.operators import hmm
+    rows = [(1, ["a", "b", "c"], ["JJ|VBG", "NN", "NN"]), (2, ["d", "e", "c"], ["JJ", "VBG|NN", "NN"]),
+            (3, ["a", "e"], ["JJ|VBG", "NN"])]
+    packed = spark.createDataFrame(rows, "sent_id long, words array<string>, tags array<string>")
+    model = hmm.fit_hmm(packed)
+    sents = spark.createDataFrame([(9, 1, "a"), (9, 2, "b"), (8, 1, "d"), (8, 2, "e"), (8, 3, "c")],
+                                  "sent_id long, pos int, word string")
+    got = {(r["sent_id"], r["pos"]): r["tag"] for r in hmm.tag_hmm(sents, model).collect()}
+    assert got == {(9, 1): "JJ|VBG", (9, 2): "NN", (8, 1): "JJ", (8, 2): "VBG|NN", (8, 3): "NN"}
