@@ -2,19 +2,22 @@
 
 Regular expressions find the base identifiers (e-mail, IP address, card and
 phone number); they are the seeds.  Every base span is a candidate, and so is
-every token outside them that looks like an identifier (it has a digit or an @)
-and every sequence of digit groups with spaces between; the two words before it
-(fewer at a text's start), with its shape class, are its lexical pattern.  Spark scores the graph of patterns and instances for a few rounds:
+every token outside them that looks like an identifier (``SHORT`` characters or more, with
+a digit or an @) and every sequence of digit groups with spaces between; the two words
+before it (fewer at a text's start) and the kinds of characters in it are its lexical
+pattern.  Spark scores the graph of patterns and instances:
 
 * a pattern's score for a kind is the mean score of its distinct instances,
   reduced for patterns with few of them; it counts if the mean is at least half;
 * an instance's score is the chance that one of its patterns is right.
 
 What one round finds scores the patterns of the next, so contexts that hold no
-seed are reached too, one step a round.
+seed are reached too, one step a round.  Scores only grow; rounds end when one
+finds no other instance and all scores together grow by less than ``REST``.
 
 Candidates that no base span covers are reported as ``<kind>_ctx`` if their score
-reaches the threshold.  Edges are distinct (pattern, instance) pairs that carry
+reaches the threshold, with the kind of the highest score and, among equal ones, the
+last kind by name.  Edges are distinct (pattern, instance) pairs that carry
 hashes, not text; both steps are sums with map-side aggregation, and hot
 patterns or instances meet a one-row side in the joins.  Rounds are written
 tables.
@@ -43,10 +46,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"\S+")
 EDGES = ".,;:!?\"'()[]{}<>"
-SHORT, LONG = 6, 64     # length of a candidate that no pattern knows
+REST = 0.01             # rounds end when all scores together grow by less and no instance is new
+SHORT = 6               # characters of a candidate that no base pattern knows, at least
 LABEL = re.compile(r"[^\W\d_]\w*[:=]")     # glued to an identifier: tel:555-7713
 NUMBER = frozenset("0123456789+-()./ ")      # characters of a number in groups
 GROUPING = str.maketrans("", "", "+-()/ ")
+JOINING = str.maketrans("", "", ".-_")
 SPACES = " \xa0\u202f"     # between groups
 
 CANDIDATE = T.StructType([
@@ -93,9 +98,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _shape(core: str) -> str:
-    """The shape class of an identifier; however a number is grouped, it has one class."""
-    shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", core.lower()))
-    return re.sub("0+", "0", shape.translate(GROUPING))[:4] if NUMBER.issuperset(core) else shape[:4]
+    """The kinds of characters of an identifier: letters, digits, others each; those that only
+    group the digits of a number or join the parts of a name do not count."""
+    kinds = {"a" if c.isalpha() else "0" if c.isdigit() else c
+             for c in core.translate(GROUPING if NUMBER.issuperset(core) else JOINING)}
+    return "".join(sorted(kinds))
 
 
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple]:
@@ -118,7 +125,7 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple]:
     group, words = [], ("", "")     # pieces of a number in sequence, the words before the first
 
     def close():
-        if len(group) > 1 and SHORT <= group[-1][1] - group[0][0] <= LONG:
+        if len(group) > 1 and group[-1][1] - group[0][0] >= SHORT:
             add(group[0][0], group[-1][1], words)
         group.clear()
 
@@ -156,17 +163,18 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple]:
                     close()
             else:
                 close()
-            if SHORT <= len(core) <= LONG:
+            if len(core) >= SHORT:
                 add(a, b, context)
         last, ended = (last[1], word.lower()), end
     close()
     return out
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None,
              threshold: float = 0.8, support: int = 3) -> DataFrame:
     """``doc_id, spans`` (base), ``found`` (contextual), both arrays of start, end, kind,
-    for every text.  A pattern needs ``support`` distinct instances."""
+    for every text.  A pattern needs ``support`` distinct instances; ``rounds`` stops the
+    search earlier."""
     def setup():
         import pyspark
 
@@ -194,16 +202,21 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     use = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {support}")
     edges = written(edges.join(use, "pattern"), "graph")
     seeds = edges.where("kind is not null").groupBy("instance", "kind").agg(F.lit(1.0).alias("score"))
-    scores = seeds
-    for r in range(rounds):
+    known = seeds.select("instance").distinct()
+    count = lambda df: tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0.0))).first())
+    scores, before, done = seeds, count(seeds), 0
+    while before[0] and (rounds is None or done < rounds):
         patterns = (edges.drop("kind").join(scores, "instance").groupBy("pattern", "kind")
                     .agg((F.sum("score") / F.max("n")).alias("mean"), F.max("n").alias("n")).where("mean >= 0.5")
                     .select("pattern", "kind", F.expr("mean * (n / (n + 1.0))").alias("trust")))
         fresh = (edges.where("kind is null").select("pattern", "instance").join(patterns, "pattern")
                  .groupBy("instance", "kind")
                  .agg((1.0 - F.exp(F.sum(F.log(F.greatest(F.lit(1.0) - F.col("trust"), F.lit(1e-6)))))).alias("score")))
-        known = seeds.select("instance").distinct()
         scores = written(seeds.union(fresh.join(known, "instance", "left_anti").select("instance", "kind", "score")), "scores")
+        done, after = done + 1, count(scores)
+        if after[0] == before[0] and after[1] - before[1] < REST:
+            break
+        before = after
     good = (scores.join(known, "instance", "left_anti").where(F.col("score") >= threshold)
             .groupBy("instance").agg(F.max(F.struct("score", "kind"))["kind"].alias("kind")))
     found = (each.where("kind is null").select("row", "start", "end", "instance").join(good, "instance")

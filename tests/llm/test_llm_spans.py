@@ -159,3 +159,16 @@ def test_candidates_cover_the_base_spans():
         found = pii.candidates(t, base := pii.base_spans(t))
         assert [(a, b, k) for a, b, _, _, k in found if k] == base
         assert all(e <= a or s >= b for a, b, _, _, k in found if not k for s, e, _ in base), t
+
+
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Each context holds the identifiers of the one before and fewer new ones; long identifiers count too."""
+    names, sizes = ["alpha", "beta", "gamma", "delta", "epsilon"], [24, 16, 10, 6, 3]
+    ids = [[f"{w}{i}x{'0' * 70}@host" for i in range(k)] for w, k in zip(names, sizes)]
+    ids[0] = [f"u{i}@mail.example.com" for i in range(sizes[0])]
+    rows = [f"context {names[k]} number {x} end" for k in range(4) for x in ids[k] + ids[k + 1]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = [{rows[r["doc_id"]][s["start"]:s["end"]] for r in pii.find_pii(df, threshold=0.5, **o).collect() for s in r["found"]}
+             for o in ({"rounds": 0}, {"rounds": 1}, {})]
+    assert found[0] == set() and found[1] <= set(ids[1])
+    assert found[2] == {x for i in ids[1:] for x in i}
