@@ -112,6 +112,7 @@ ppl AS (
 """,
 }
 
+# fixed values: n per smoothing mode
 MODE_N = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
 
 
