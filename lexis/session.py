@@ -55,10 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str = "t") -> DataFrame:
+def written(df: DataFrame, name: str = "t", by: list[str] | None = None) -> DataFrame:
     """``df`` written once as Parquet under the shared checkpoint folder and
-    read back: cuts lineage, is computed once, and survives lost executors."""
+    read back: cuts lineage, is computed once, and survives lost executors.
+    ``by`` names columns whose values become folders."""
+    return written_at(df, name, by)[0]
+
+
+def written_at(df: DataFrame, name: str = "t", by: list[str] | None = None) -> tuple[DataFrame, str]:
+    """``written`` with the table's path, for ``drop_written``."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lexis-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_written(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``written_at`` that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
