@@ -6,7 +6,8 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from lexis.operators import backoff, hmm, rules
+from lexis.functions.text import whitespace_split
+from lexis.operators import backoff, hmm, longviterbi, rules
 from lexis.operators import sequences as sq
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
@@ -117,6 +118,17 @@ def hmm_tag(spark, sf_dir):
     return hmm_predictions(spark, sf_dir).select("sent_id", "pos", "word", "tag")
 
 
+def hmm_tag_documents(spark, sf_dir):
+    """Every evaluation document decoded as one sequence of all its words, by segments."""
+    docs = table(spark, sf_dir, "documents").where(fx.is_eval())
+    toks = docs.select(F.col("doc_id").alias("sent_id"), F.posexplode(whitespace_split(F.lower("text"))).alias("p", "word")) \
+        .select("sent_id", (F.col("p") + 1).alias("pos"), "word")
+    replaced = sq.replace_rare(toks, sq.word_counts(train_tokens(spark, sf_dir)), UNK_THRESHOLD, unseen_too=True)
+    out = longviterbi.tag_long(replaced, hmm_model(spark, sf_dir), word_col="model_word", keep="word")
+    return out.select(F.col("sent_id").alias("doc_id"), "pos", "word", "tag",
+                      F.floor(F.col("score") * 1000).cast("long").alias("score_milli"))
+
+
 def tag_alignment(spark, sf_dir):
     pred = hmm_predictions(spark, sf_dir).select("sent_id", "pos", "word", "tag")
     return sq.align_tags(eval_tokens(spark, sf_dir), pred, sq.word_counts(train_tokens(spark, sf_dir)))
@@ -230,4 +242,5 @@ QUERIES = {
     "brill_accuracy": brill_accuracy,
     "backoff_accuracy": backoff_accuracy,
     "hmm_tag_plain": hmm_tag_plain,
+    "hmm_tag_documents": hmm_tag_documents,
 }

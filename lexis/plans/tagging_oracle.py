@@ -269,3 +269,40 @@ SELECT p.sent_id, CAST(p.pos AS INTEGER) AS pos, w.word, p.tag FROM brill_pred p
     "backoff_accuracy": f"WITH RECURSIVE {F2}, {BACKOFF_MODEL}, {BACKOFF_TAG}, {ALIGN.replace('FROM hmm_pred', 'FROM bt')} {ACCURACY}",
     "hmm_tag_plain": f"WITH RECURSIVE {F2}, {HMM_PLAIN}, {VITERBI_PLAIN} {TAG} hmm_pred",
 }
+
+# whole documents as sequences, scores as whole numbers of 1e-9
+DOCUMENTS = """
+states AS (SELECT tag, row_number() OVER (ORDER BY tag) AS k FROM (
+             SELECT tag FROM hs UNION SELECT tag FROM he UNION SELECT prev FROM ht UNION SELECT tag FROM ht)),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '\\S+') AS ws FROM documents WHERE doc_id % 5 = 0),
+dt AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM dw),
+mw AS (SELECT d.doc_id, d.pos, d.word, CASE WHEN coalesce(w.cnt, 0) <= 1 THEN '<UNK>' ELSE d.word END AS mword
+       FROM dt d LEFT JOIN wc w USING (word)),
+ew AS (SELECT v.mword, list(CAST(round(coalesce(h.logp, -1e6) * 1e9) AS HUGEINT) ORDER BY s.k) AS e
+       FROM (SELECT DISTINCT mword FROM mw) v CROSS JOIN states s LEFT JOIN he h ON h.tag = s.tag AND h.word = v.mword
+       GROUP BY v.mword),
+ev AS MATERIALIZED (SELECT m.doc_id, m.pos, e.e FROM mw m JOIN ew e USING (mword)),
+md AS MATERIALIZED (
+  SELECT (SELECT list(CAST(round(coalesce(h.logp, -1e6) * 1e9) AS HUGEINT) ORDER BY s.k)
+          FROM states s LEFT JOIN hs h USING (tag)) AS st,
+         (SELECT list(c ORDER BY k) FROM (
+            SELECT b.k, list(CAST(round(coalesce(t.logp, -1e6) * 1e9) AS HUGEINT) ORDER BY a.k) AS c
+            FROM states a CROSS JOIN states b LEFT JOIN ht t ON t.prev = a.tag AND t.tag = b.tag GROUP BY b.k)) AS tr),
+vt AS (
+  SELECT ev.doc_id, ev.pos, list_transform(ev.e, lambda x, j: x + md.st[j]) AS d, CAST([] AS BIGINT[]) AS bp
+  FROM ev, md WHERE ev.pos = 1
+  UNION ALL
+  SELECT doc_id, pos, list_transform(c, lambda x, j: list_max(x) + e[j]), list_transform(c, lambda x: list_position(x, list_max(x)))
+  FROM (SELECT ev.doc_id, ev.pos, ev.e, list_transform(md.tr, lambda col: list_transform(col, lambda t, i: t + vt.d[i])) AS c
+        FROM vt JOIN ev ON ev.doc_id = vt.doc_id AND ev.pos = vt.pos + 1, md)),
+fin AS (SELECT v.doc_id, v.pos, list_position(v.d, list_max(v.d)) AS k, list_max(v.d) AS total
+        FROM vt v JOIN (SELECT doc_id, max(pos) AS pos FROM ev GROUP BY doc_id) l USING (doc_id, pos)),
+back AS (
+  SELECT doc_id, pos, k, total FROM fin
+  UNION ALL
+  SELECT b.doc_id, b.pos - 1, v.bp[b.k], b.total FROM back b JOIN vt v ON v.doc_id = b.doc_id AND v.pos = b.pos WHERE b.pos > 1)
+"""
+SQL["hmm_tag_documents"] = f"""WITH RECURSIVE {F2}, {HMM_MODEL}, {DOCUMENTS}
+SELECT b.doc_id, CAST(b.pos AS INTEGER) AS pos, m.word, s.tag,
+       CAST((b.total - CASE WHEN b.total % 1000000 < 0 THEN b.total % 1000000 + 1000000 ELSE b.total % 1000000 END) // 1000000 AS BIGINT) AS score_milli
+FROM back b JOIN mw m USING (doc_id, pos) JOIN states s USING (k)"""
