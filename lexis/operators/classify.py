@@ -1,8 +1,9 @@
 """Naive Bayes document classification over a frequency-band vocabulary
 (C24-C31).
 
-Every fold of a cross-validation runs in the same job: rows carry a ``fold_id``
-and every aggregate groups by it.  A hold-out run is the one-fold case.
+A hold-out run is the one-fold case of ``run_folds``: rows carry a ``fold_id`` and
+every aggregate groups by it.  ``cross_validate`` counts each fold once and takes a
+training set as all folds without the one it tests.
 
 Tables
 ------
@@ -96,14 +97,31 @@ def fit_nb(pres: DataFrame, assign: DataFrame, labels: DataFrame) -> dict:
         F.count(F.lit(1)).alias("n_l"), F.min("sample_id").alias("label_ord"))
     term_counts = (pres.where(~F.col("is_test")).join(labels.select("sample_id", "label"), "sample_id")
                    .groupBy("fold_id", "label", "term").agg(F.count(F.lit(1)).alias("n_lt")))
+    return _model(label_counts, term_counts)
+
+
+def _model(label_counts: DataFrame, term_counts: DataFrame) -> dict:
+    """Both tables are read several times; they hold at most the band's terms of each label."""
+    term_counts = term_counts.cache()
+    return {"labels": label_table(label_counts, term_counts).cache(), "terms": term_counts}
+
+
+def label_table(label_counts: DataFrame, term_counts: DataFrame) -> DataFrame:
+    """``fold_id, label, n_l, label_ord, T_l, N, T`` from documents and presences per label."""
     label_totals = term_counts.groupBy("fold_id", "label").agg(F.sum("n_lt").alias("T_l"))
     # per-fold totals as window sums over the (label-sized) table: no joins
     fold = Window.partitionBy("fold_id")
-    per_label = (label_counts.join(label_totals, ["fold_id", "label"], "left")
-                 .withColumn("T_l", F.coalesce("T_l", F.lit(0)))
-                 .withColumn("N", F.sum("n_l").over(fold))
-                 .withColumn("T", F.sum("T_l").over(fold)))
-    return {"labels": per_label, "terms": term_counts}
+    return (label_counts.join(label_totals, ["fold_id", "label"], "left")
+            .withColumn("T_l", F.coalesce("T_l", F.lit(0)))
+            .withColumn("N", F.sum("n_l").over(fold))
+            .withColumn("T", F.sum("T_l").over(fold)))
+
+
+def _weights(model: dict) -> DataFrame:
+    """What a present term adds to a label beyond log2(1/T); at least 1."""
+    return (model["terms"].join(model["labels"].select("fold_id", "label", "T_l", "T"), ["fold_id", "label"])
+            .select("fold_id", "label", "term",
+                    (F.log2(F.col("n_lt") / F.col("T_l") + 1.0 / F.col("T")) - F.log2(1.0 / F.col("T"))).alias("w")))
 
 
 def classify_nb(pres: DataFrame, assign: DataFrame, model: dict, digits: int = 4) -> DataFrame:
@@ -119,10 +137,7 @@ def classify_nb(pres: DataFrame, assign: DataFrame, model: dict, digits: int = 4
     doc_sizes = (pres.where(F.col("is_test")).groupBy("fold_id", "sample_id")
                  .agg(F.count(F.lit(1)).alias("d")))
     docs = test.join(doc_sizes, ["fold_id", "sample_id"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
-    weights = (model["terms"].join(per_label.select("fold_id", "label", "T_l", "T"), ["fold_id", "label"])
-               .select("fold_id", "label", "term",
-                       (F.log2(F.col("n_lt") / F.col("T_l") + 1.0 / F.col("T")) - F.log2(1.0 / F.col("T")))
-                       .alias("w")))
+    weights = _weights(model)
     # Spark picks the join by the measured size of the labels and weights
     labels = per_label
     seen = (pres.where(F.col("is_test")).select("fold_id", "sample_id", "term")
@@ -137,6 +152,43 @@ def classify_nb(pres: DataFrame, assign: DataFrame, model: dict, digits: int = 4
     return scored.select("fold_id", "sample_id", "label", "label_ord", (prior + body).alias("score"))
 
 
+def best_labels(test: DataFrame, pres: DataFrame, model: dict, digits: int = 4) -> DataFrame:
+    """``predict(classify_nb(...))`` without meeting every label: ``test(fold_id, sample_id)``,
+    ``pres(fold_id, sample_id, term)`` of the test samples.
+
+    A present term adds 1 or more to the labels that have it, so of the labels that share no
+    term with a sample only those of the highest prior can win: a short list per fold.  The
+    list holds every prior that rounding could make equal to the highest."""
+    labels = model["labels"].withColumn("prior", F.log2(F.col("n_l") / F.col("N") + 1.0 / F.col("N")))
+    seen = (pres.join(_weights(model), ["fold_id", "term"])
+            .groupBy("fold_id", "sample_id", "label").agg(F.sum("w").alias("seen")))
+    sizes = pres.groupBy("fold_id", "sample_id").agg(F.count(F.lit(1)).alias("d"))
+
+    def choice(score, order, label):
+        return F.struct(F.round(score, digits).alias("s"), (-order).alias("o"), label.alias("label"), score.alias("score"))
+
+    score = F.col("prior") + (F.col("seen") + F.col("d") * F.log2(1.0 / F.col("T")))
+    of_seen = (seen.join(labels, ["fold_id", "label"]).join(sizes, ["fold_id", "sample_id"])
+               .groupBy("fold_id", "sample_id").agg(F.max(choice(score, F.col("label_ord"), F.col("label"))).alias("top")))
+    near = 2 * 10.0 ** -digits
+
+    def tops(name, which):
+        x = labels.where(which)
+        x = x.withColumn("_max", F.max("prior").over(Window.partitionBy("fold_id"))).where(F.col("prior") >= F.col("_max") - near)
+        x = x.groupBy("fold_id", "prior", "T").agg(F.min_by(F.struct("label", "label_ord"), "label_ord").alias("l"))
+        return x.groupBy("fold_id").agg(F.collect_list(F.struct("prior", "T", "l")).alias(name))
+
+    info = tops("of_all", F.lit(True)).join(tops("of_used", (F.col("T_l") > 0) & (F.col("T") > 0)), "fold_id", "left")
+    docs = (test.join(sizes, ["fold_id", "sample_id"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
+            .join(info, "fold_id").join(of_seen, ["fold_id", "sample_id"], "left"))
+    rest = F.when(F.col("d") == 0, F.transform("of_all", lambda c: choice(c["prior"], c["l"]["label_ord"], c["l"]["label"]))) \
+        .otherwise(F.transform("of_used", lambda c: choice(c["prior"] + F.col("d") * F.log2(1.0 / c["T"]),
+                                                           c["l"]["label_ord"], c["l"]["label"])))
+    best = F.array_max(F.concat(rest, F.array("top")))
+    return (docs.select("fold_id", "sample_id", best.alias("best")).where(F.col("best").isNotNull())
+            .select("fold_id", "sample_id", F.col("best.label").alias("predicted"), F.col("best.score").alias("score")))
+
+
 def predict(scores: DataFrame, digits: int = 4) -> DataFrame:
     """Argmax label per sample; a tie goes to the first-seen label."""
     key = F.struct(F.round("score", digits).alias("s"), (-F.col("label_ord")).alias("o"))
@@ -156,7 +208,9 @@ def run_folds(tokens: DataFrame, labels: DataFrame, assign: DataFrame,
     pres = presence(per_sample, assign, vocab)
     model = fit_nb(pres, assign, labels)
     scores = classify_nb(pres, assign, model)
-    preds = predict(scores).join(labels.select("sample_id", "label"), "sample_id")
+    of_test = best_labels(assign.where("is_test").select("fold_id", "sample_id"),
+                          pres.where("is_test").select("fold_id", "sample_id", "term"), model)
+    preds = of_test.join(labels.select("sample_id", "label"), "sample_id")
     return {"vocab": vocab, "presence": pres, "model": model, "scores": scores, "predictions": preds}
 
 
@@ -180,6 +234,56 @@ def cv_assignment(samples: DataFrame, k: int = 3) -> DataFrame:
                     (F.col("fold_id") == F.col("own_fold")).alias("is_test")))
 
 
+def _without(folds: str, part, k: int):
+    """Over the other folds, for each fold 0..k-1: ``(fold_id, parts of the others)``."""
+    return F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.struct(
+        f.cast("int").alias("fold_id"), F.transform(F.filter(folds, lambda x: x["own"] != f), part).alias("rest"))))
+
+
+def cross_validate(tokens: DataFrame, labels: DataFrame, k: int = 3,
+                   skip: int = SKIP_N_FEATURES, max_features: int = MAX_FEATURES) -> dict:
+    """C30 with every statistic counted once per fold of its own: a training set's statistic is
+    that of the other folds together.  Results are those of ``run_folds`` on ``cv_assignment``.
+
+    A fold's count of a term lies between total - largest own count and total, so only terms
+    whose total reaches the ``max_features``-th largest lower bound can be among the first
+    ``max_features`` of any fold; only they are ranked."""
+    own = contiguous_folds(labels.select("sample_id"), "sample_id", k, "own")
+    known = labels.select("sample_id", "label").join(own, "sample_id").cache()
+    per_sample = sample_terms(tokens).join(known, "sample_id").cache()
+
+    per_fold = per_sample.groupBy("term", "own").agg(
+        F.sum("cnt").alias("cnt"), F.min(F.struct("sample_id", "first_pos")).alias("first"))
+    per_term = per_fold.groupBy("term").agg(
+        F.sum("cnt").alias("total"), F.max("cnt").alias("most"),
+        F.collect_list(F.struct("own", "cnt", "first")).alias("folds")).cache()
+    lower = per_term.select((F.col("total") - F.col("most")).alias("low")).orderBy(F.desc("low")).limit(max_features)
+    reach = lower.agg(F.when(F.count(F.lit(1)) < max_features, 0).otherwise(F.min("low"))).scalar()
+    freqs = (per_term.where(F.col("total") >= reach).select("term", _without("folds", lambda x: x, k).alias("f"))
+             .where(F.size("f.rest") > 0)
+             .select("f.fold_id", "term", F.aggregate("f.rest", F.lit(0).cast("long"), lambda a, x: a + x["cnt"]).alias("cnt"),
+                     F.array_min("f.rest.first").alias("first")))
+    vocab = vocab_band(freqs, skip, max_features).cache()
+
+    # at most (max_features - skip) terms a fold
+    in_folds = F.broadcast(vocab.groupBy("term").agg(F.collect_list("fold_id").alias("in_folds")))
+    pres = per_sample.select("sample_id", "own", "label", "term").join(in_folds, "term")
+    by_label = (pres.groupBy("term", "label", "own").agg(F.count(F.lit(1)).alias("n"), F.first("in_folds").alias("in_folds"))
+                .groupBy("term", "label").agg(F.collect_list(F.struct("own", "n")).alias("folds"), F.first("in_folds").alias("in_folds")))
+    term_counts = (by_label.select("term", "label", "in_folds", _without("folds", lambda x: x["n"], k).alias("f"))
+                   .where(F.array_contains("in_folds", F.col("f.fold_id")) & (F.size("f.rest") > 0))
+                   .select("f.fold_id", "label", "term", F.aggregate("f.rest", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_lt")))
+    per_own = known.groupBy("label", "own").agg(F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("first"))
+    label_counts = (per_own.groupBy("label").agg(F.collect_list(F.struct("own", "n", "first")).alias("folds"))
+                    .select("label", _without("folds", lambda x: x, k).alias("f")).where(F.size("f.rest") > 0)
+                    .select("f.fold_id", "label", F.aggregate("f.rest", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_l"),
+                            F.array_min("f.rest.first").alias("label_ord")))
+    model = _model(label_counts, term_counts)
+    mine = pres.where(F.array_contains("in_folds", F.col("own"))).select(F.col("own").alias("fold_id"), "sample_id", "term")
+    preds = best_labels(known.select(F.col("own").alias("fold_id"), "sample_id"), mine, model)
+    return {"vocab": vocab, "model": model, "predictions": preds.join(labels.select("sample_id", "label"), "sample_id")}
+
+
 def accuracy(predictions: DataFrame) -> DataFrame:
     """A10 per fold: ``fold_id, n, correct, accuracy``."""
     return predictions.groupBy("fold_id").agg(

@@ -39,7 +39,7 @@ def holdout(spark, sf_dir, label="quality"):
 @lru_cache(maxsize=8)
 def cross_validation(spark, sf_dir, label="quality", k=3):
     s = samples(spark, sf_dir, label).where("is_train")
-    return nb.run_folds(tokens(spark, sf_dir, label), s, nb.cv_assignment(s, k))
+    return nb.cross_validate(tokens(spark, sf_dir, label), s, k)
 
 
 def digit_normalise(spark, sf_dir):
