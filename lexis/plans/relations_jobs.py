@@ -7,8 +7,8 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from lexis.operators import forest, trees
 from lexis.operators import mentions as mn
-from lexis.operators import trees
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
 
@@ -76,6 +76,18 @@ def lca(spark, sf_dir):
     return r.where("valid").select("sent_id", "lca")
 
 
+def ancestor_steps(spark, sf_dir):
+    """Paths to the root as rows, by pointer doubling."""
+    f = forest.build(parsed_tokens(spark, sf_dir))
+    return forest.path_steps(f, forest.starts(f)).select("sent_id", "role", "step", "i", "text")
+
+
+def lca_lifted(spark, sf_dir):
+    """The lowest common ancestor by lifting tables."""
+    f = forest.build(parsed_tokens(spark, sf_dir))
+    return forest.common_ancestor(f, forest.starts(f)).select("sent_id", "lca")
+
+
 def relation_report(spark, sf_dir):
     """C23 / K6 in table form: rewritten sentence, role lines, paths, LCA."""
     rel = relations(spark, sf_dir)
@@ -100,5 +112,7 @@ QUERIES = {
     "relation_validity": relation_validity,
     "path_to_root": path_to_root,
     "lca": lca,
+    "ancestor_steps": ancestor_steps,
+    "lca_lifted": lca_lifted,
     "relation_report": relation_report,
 }

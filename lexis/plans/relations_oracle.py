@@ -151,3 +151,8 @@ el AS (SELECT sent_id, string_agg(role || ':' || chr(9) || '[[ ' || name || ' |
 SELECT w.sent_id, array_to_string(w.words, ' ') AS text, el.entities, pr.subject_path, pr.object_path, lca.lca
 FROM rewritten w JOIN el USING (sent_id) JOIN pr USING (sent_id) JOIN lca USING (sent_id)""",
 }
+SQL["lca_lifted"] = SQL["lca"]
+SQL["ancestor_steps"] = f"""WITH RECURSIVE {F3},
+st AS (SELECT sent_id, role, unnest(path) AS i, unnest(range(0, len(path))) AS step FROM full_path)
+SELECT s.sent_id, s.role, CAST(s.step AS INTEGER) AS step, CAST(s.i AS INTEGER) AS i, f.texts[s.i] AS text
+FROM st s JOIN f4 f USING (sent_id)"""
