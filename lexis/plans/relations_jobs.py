@@ -7,7 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from lexis.operators import forest, trees
+from lexis.operators import forest, phrases, trees
 from lexis.operators import mentions as mn
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
@@ -41,6 +41,12 @@ def mention_span_match(spark, sf_dir):
                     F.array_join("tags", " ").alias("tags"))
 
 
+def phrase_matches(spark, sf_dir):
+    """Every mention phrase of the table against every sentence."""
+    found = phrases.find_phrases(mn.mentions(relations(spark, sf_dir)), relation_tokens(spark, sf_dir))
+    return found.select("sent_id", "phrase", F.col("start").cast("int").alias("start"))
+
+
 def noun_mismatch(spark, sf_dir):
     m = mn.noun_mismatch(relations(spark, sf_dir), relation_tokens(spark, sf_dir))
     return m.select("sent_id", "phrase", F.array_join("tags", " ").alias("tags"))
@@ -106,6 +112,7 @@ QUERIES = {
     "mention_extract": mention_extract,
     "mention_clean": mention_clean,
     "mention_span_match": mention_span_match,
+    "phrase_matches": phrase_matches,
     "noun_mismatch": noun_mismatch,
     "entity_roles": entity_roles,
     "role_rewrite": role_rewrite,

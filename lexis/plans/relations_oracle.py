@@ -156,3 +156,9 @@ SQL["ancestor_steps"] = f"""WITH RECURSIVE {F3},
 st AS (SELECT sent_id, role, unnest(path) AS i, unnest(range(0, len(path))) AS step FROM full_path)
 SELECT s.sent_id, s.role, CAST(s.step AS INTEGER) AS step, CAST(s.i AS INTEGER) AS i, f.texts[s.i] AS text
 FROM st s JOIN f4 f USING (sent_id)"""
+SQL["phrase_matches"] = f"""WITH {F3},
+every AS (SELECT DISTINCT phrase, len(string_split(phrase, ' ')) AS k FROM mentions),
+sizes AS (SELECT DISTINCT k FROM every),
+cut AS (SELECT sent_id, k, s, array_to_string(words[s:s + k - 1], ' ') AS phrase
+        FROM (SELECT cw.*, k, unnest(range(1, len(words) - k + 2)) AS s FROM cw, sizes WHERE len(words) >= k))
+SELECT cut.sent_id, cut.phrase, CAST(cut.s AS INTEGER) AS start FROM cut JOIN every USING (phrase, k)"""
