@@ -7,6 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from lexis.operators import classify as nb
+from lexis.operators import topterms
 from lexis.sources import fixtures as fx
 from lexis.sources.tables import table
 
@@ -61,6 +62,13 @@ def vocab_band(spark, sf_dir):
     return holdout(spark, sf_dir)["vocab"].select("term", "rank")
 
 
+def vocab_band_bounds(spark, sf_dir):
+    """The same band from local counts and bounds, without moving the vocabulary."""
+    train = samples(spark, sf_dir).where("is_train")
+    toks = nb.tokenise(None, lemmas(spark, sf_dir), toks=nb.raw_tokens(train))
+    return topterms.top_terms(toks, nb.MAX_FEATURES, nb.SKIP_N_FEATURES).select("term", "rank")
+
+
 def doc_term_presence(spark, sf_dir):
     return holdout(spark, sf_dir)["presence"].select("sample_id", "term")
 
@@ -117,6 +125,7 @@ QUERIES = {
     "lemma_map": lemma_map,
     "term_freq": term_freq,
     "vocab_band": vocab_band,
+    "vocab_band_bounds": vocab_band_bounds,
     "doc_term_presence": doc_term_presence,
     "nb_counts": nb_counts,
     "nb_term_counts": nb_term_counts,

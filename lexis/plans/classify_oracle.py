@@ -97,3 +97,4 @@ FROM lbl lb LEFT JOIN tl USING (fold_id, label)""",
     "nb_cv": f"{_cv()} SELECT CAST(fold_id AS INTEGER) AS fold, n, correct, round(accuracy, 6) AS accuracy FROM acc",
     "nb_cv_mean": f"{_cv()} SELECT round(avg(accuracy), 6) AS mean_accuracy, CAST(count(*) AS BIGINT) AS folds FROM acc",
 }
+SQL["vocab_band_bounds"] = SQL["vocab_band"]
