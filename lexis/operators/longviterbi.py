@@ -58,14 +58,13 @@ def _states(model: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def _emissions(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
     """All tokens' emission rows one below the other, and each segment's bounds."""
-    def parts(name):
-        col = batch.column(name)
-        return col.offsets.to_numpy() - col.offsets[0].as_py(), col.flatten()
-    bounds, states = parts("states")
-    of_token = np.diff(states.offsets.to_numpy())
+    col = batch.column("codes")
+    bounds, tokens = col.offsets.to_numpy() - col.offsets[0].as_py(), col.flatten()
+    of_token = np.diff(tokens.offsets.to_numpy())
     rows = np.full((bounds[-1], k), LOW, np.int64)
     where = np.repeat(np.arange(len(of_token)), of_token)
-    rows[where, states.flatten().to_numpy()] = parts("logps")[1].flatten().to_numpy()
+    codes = tokens.flatten().to_numpy()
+    rows[where, codes % MAX_STATES] = codes // MAX_STATES
     return rows, bounds
 
 
@@ -127,7 +126,7 @@ def _matrices(segments: DataFrame, start, trans) -> DataFrame:
                     out[s] = _level(v[i])
             yield pa.RecordBatch.from_arrays([b.column("sent_id"), b.column("idx"), pa.array(out, pa.binary())],
                                              ["sent_id", "idx", "m"])
-    return segments.select("sent_id", "idx", "states", "logps").mapInArrow(run, "sent_id long, idx long, m binary")
+    return segments.select("sent_id", "idx", "codes").mapInArrow(run, "sent_id long, idx long, m binary")
 
 
 def _in_blocks(df: DataFrame, fan: int) -> DataFrame:
@@ -232,7 +231,7 @@ def _decode(segments: DataFrame, start, trans, follow: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lists, pa.list_(pa.int32()))], schema)
     schema = ["sent_id", "idx", "gain", "path"] if follow else ["sent_id", "idx", "gain", "best", "before"]
     types = "sent_id long, idx long, gain long, " + ("path array<int>" if follow else "best int, before array<int>")
-    return segments.select("sent_id", "idx", "states", "logps", "v", "out").mapInArrow(run, types)
+    return segments.select("sent_id", "idx", "codes", "v", "out").mapInArrow(run, types)
 
 
 def _last_states(maps: DataFrame, last: int, fan: int) -> DataFrame:
@@ -273,9 +272,8 @@ def tag_long(sequences: DataFrame, model: dict, word_col: str = "word", keep: st
     kept = keep or word_col
     at = F.create_map(*[F.lit(x) for k, t in enumerate(names) for x in (t, k)]) if names else F.create_map().cast("map<string,int>")
     by_word = (model["emission"].groupBy("word")
-               .agg(F.sort_array(F.collect_list(F.struct(F.try_element_at(at, F.col("tag")).cast("int").alias("k"),
-                                                         _units(F.col("logp")).alias("p")))).alias("em")))
-    nothing = F.array().cast("array<struct<k:int,p:bigint>>")
+               .agg(F.collect_list(_units(F.col("logp")) * MAX_STATES + F.try_element_at(at, F.col("tag"))).alias("em")))
+    nothing = F.array().cast("array<bigint>")   # an emission is one number: units * MAX_STATES + state
     toks = (sequences.where(F.col("sent_id").isNotNull() & F.col("pos").isNotNull())
             .select(F.col("sent_id").cast("long").alias("sent_id"), F.col("pos").cast("long").alias("pos"),
                     F.col(word_col).alias("_word"), F.col(kept).alias("kept"))
@@ -284,8 +282,7 @@ def tag_long(sequences: DataFrame, model: dict, word_col: str = "word", keep: st
     grouped = toks.groupBy("sent_id", F.floor((F.col("pos") - 1) / segment).alias("idx")).agg(F.array_sort(
         F.collect_list(F.struct("pos", "em", "kept")), lambda a, b: F.when(a["pos"] < b["pos"], -1).otherwise(1)).alias("s"))
     segments = written(grouped.select("sent_id", "idx", F.col("s.kept").alias("kept"),
-                                      F.transform("s.em", lambda e: e["k"]).alias("states"),
-                                      F.transform("s.em", lambda e: e["p"]).alias("logps")), "viterbi-segments")
+                                      F.col("s.em").alias("codes")), "viterbi-segments")
     last = segments.agg(F.max("idx")).first()[0]
     total = F.col("gain").cast("decimal(38,0)")
     no_entry, no_exit = F.lit(None).cast("binary"), F.lit(None).cast("int")
