@@ -8,13 +8,15 @@ Packed form: ``(sent_id, words array, tags array)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions.text import UNK, slash_encode, slash_tag, slash_word, whitespace_split
 from lexis.operators.ordering import global_running_sum
 from lexis.plans.sizing import bounded_broadcast
 
+MAX_FILE_LINES = 1_000_000  # lines of one file that one task numbers
+
 
 def sentences_from_lines(lines: DataFrame, file_col: str = "file", line_col="line_no",
                          text_col: str = "line") -> DataFrame:
@@ -23,22 +25,49 @@ def sentences_from_lines(lines: DataFrame, file_col: str = "file", line_col="lin
     A blank line ends a sentence; words after the last blank line of a file are
     dropped (the reference never appends the open sentence); consecutive blanks
     make empty sentences, which have no rows in long form.  The first
-    whitespace field is the word, the last the tag."""
+    whitespace field is the word, the last the tag.
+
+    Lines travel once, to their file, and are numbered there; files of more than
+    ``MAX_FILE_LINES`` lines are numbered over all tasks instead."""
     order = [file_col, *([line_col] if isinstance(line_col, str) else line_col)]
-    x = lines.select(*order, text_col, (~F.col(text_col).rlike(r"\S")).cast("bigint").alias("_blank"))
-    # lines are numbered, and blank lines counted, over all files at once: a file
-    # of any size is spread over the range partitions
+    x = (lines.select(*order, text_col).dropna(subset=order)
+         .withColumn("_blank", (~F.col(text_col).rlike(r"\S")).cast("bigint")))
+    large = x.groupBy(file_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MAX_FILE_LINES).select(file_col).cache()
+    n_large = large.count()  # at most one in MAX_FILE_LINES lines
+    few = F.broadcast(large)
+    toks = _numbered_by_file(x.join(few, file_col, "left_anti") if n_large else x, order)
+    if n_large:
+        toks = toks.unionByName(_numbered_by_range(x.join(few, file_col, "left_semi"), order))
+    fields = whitespace_split(F.col(text_col))
+    return toks.select(file_col, F.col("sent_no").cast("bigint").alias("sent_no"), F.col("pos").cast("int").alias("pos"),
+                       F.element_at(fields, 1).alias("word"), F.element_at(fields, -1).alias("tag"))
+
+
+def _numbered_by_file(x: DataFrame, order: list[str]) -> DataFrame:
+    """``sent_no`` and ``pos`` of the closed sentences' lines: one sort per file."""
+    w = Window.partitionBy(order[0]).orderBy(*order[1:])
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = (x.withColumn("_line", F.row_number().over(w))
+         .withColumn("sent_no", F.sum("_blank").over(running))
+         .withColumn("_closed", F.sum("_blank").over(whole)))
+    x = x.withColumn("_begin", F.max(F.when(F.col("_blank") == 1, F.col("_line"))).over(running))
+    return (x.where("_blank = 0 and sent_no < _closed")
+            .withColumn("pos", F.col("_line") - F.coalesce("_begin", F.lit(0)))
+            .drop("_blank", "_line", "_closed", "_begin"))
+
+
+def _numbered_by_range(x: DataFrame, order: list[str]) -> DataFrame:
+    """The same for files of any size: lines are numbered, and blank lines counted,
+    over all files at once, spread over the range partitions."""
     x = global_running_sum(x, order, "_blank", "_ended")
     x = global_running_sum(x, order, None, "_line").cache()
-    per_file = x.groupBy(file_col).agg(F.min("_ended").alias("_first"), F.sum("_blank").alias("_closed"))
-    toks = (x.where("_blank = 0").join(per_file, file_col)
+    per_file = x.groupBy(order[0]).agg(F.min("_ended").alias("_first"), F.sum("_blank").alias("_closed"))
+    toks = (x.where("_blank = 0").join(per_file, order[0])
             .withColumn("sent_no", F.col("_ended") - F.col("_first")).where("sent_no < _closed"))
     begins = toks.groupBy("_ended").agg(F.min("_line").alias("_begin"))
-    fields = whitespace_split(F.col(text_col))
-    return toks.join(begins, "_ended").select(
-        file_col, F.col("sent_no").cast("bigint").alias("sent_no"),
-        (F.col("_line") - F.col("_begin") + 1).cast("int").alias("pos"),
-        F.element_at(fields, 1).alias("word"), F.element_at(fields, -1).alias("tag"))
+    return (toks.join(begins, "_ended").withColumn("pos", F.col("_line") - F.col("_begin") + 1)
+            .drop("_ended", "_blank", "_line", "_first", "_closed", "_begin"))
 
 
 def pack(tokens: DataFrame, cols=("word", "tag")) -> DataFrame:
