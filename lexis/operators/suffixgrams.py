@@ -106,12 +106,14 @@ def ngram_counts(df: DataFrame, keys: Sequence[str], units: Column, max_n: int,
                 if not len(starts):
                     continue
                 sums = np.add.reduceat(np.where(size >= n, cnt, 0), starts)
+                edge = np.zeros(len(starts), bool)
+                edge[[0, -1]] = True
+                kept = edge | (sums >= min_count)    # a prefix that ends within the batch is whole
+                starts, sums, edge = starts[kept], sums[kept], edge[kept]
                 at = pa.array(starts)
                 rows_at = suffix.take(at)
                 gram = (pc.binary_join(pc.list_slice(rows_at, 0, n), sep) if sep
                         else pc.utf8_slice_codeunits(rows_at, 0, n))
-                edge = np.zeros(len(starts), bool)
-                edge[[0, -1]] = True
                 yield pa.RecordBatch.from_arrays(
                     [*[h.take(at) for h in heads], pa.array(np.full(len(starts), n, np.int32)), gram, pa.array(sums),
                      pa.array(edge)], names=schema.names)
