@@ -1,16 +1,14 @@
 """Many phrases against every sentence (J8, C18): one automaton over token ids.
 
-The phrases of a block form one trie with failure links, built in each task from a
-block of at most ``block_bytes`` of phrases, and every token stream runs through it
-once, whatever the number of phrases.  Streams are cut into segments that overlap by
-the longest phrase, so a stream of any length spreads over tasks; a match belongs to
-the segment in which it starts.  Each block's matches are written before the next block is read.
+Phrases of at most ``block_bytes`` form one trie with failure links, built in each
+task, and every token stream runs through it once.  More phrases never meet in one
+task: the streams' runs of tokens are joined to them.  Streams are cut into segments
+that overlap by the longest phrase, so a stream of any length spreads over tasks; a
+match belongs to the segment in which it starts.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,7 +17,7 @@ from pyspark.sql import functions as F
 from lexis.operators.mentions import mentions
 from lexis.session import written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20  # phrases of one automaton, which every task builds
 
 
 def _automaton(phrases: list[str]):
@@ -79,15 +77,27 @@ def find_phrases(phrases: DataFrame, tokens: DataFrame, segment: int = 1024, blo
               .select(F.col("sent_id").cast("long").alias("sent_id"), "i", "text", F.explode(into).alias("seg"))
               .groupBy("sent_id", "seg").agg(F.sort_array(F.collect_list(F.struct("i", "text"))).alias("s"))
               .select("sent_id", (F.col("seg") * segment + 1).alias("begin"), F.lit(segment).alias("own"), F.col("s.text").alias("texts")))
-    blocks = -(-total // block_bytes)
-    packed = written(packed, "streams") if blocks > 1 else packed
-    out = []
-    for k in range(blocks):
-        block = [r[0] for r in known.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k).collect()]
-        if block:
-            found = packed.mapInArrow(_scan(sorted(block)), schema)
-            out.append(written(found, "matches") if blocks > 1 else found)
-    return reduce(DataFrame.unionByName, out)
+    if total <= block_bytes:
+        block = [r[0] for r in known.collect()]
+        return packed.mapInArrow(_scan(sorted(block)), schema)
+    return _joined(known, packed)
+
+
+def _joined(known: DataFrame, packed: DataFrame) -> DataFrame:
+    """More phrases than one task should hold: each segment's runs of as many tokens as
+    some phrase has, joined to the phrases.  The number of tokens is part of the key, so
+    a token with a space in it equals no two words."""
+    keyed = known.select("phrase", F.size(F.split("phrase", " ")).alias("n"))
+    sizes = F.array([F.lit(r[0]) for r in keyed.select("n").distinct().orderBy("n").collect()])
+    starts = F.sequence(F.lit(1), F.least(F.col("own"), F.size("texts")).cast("int"))
+    # a null token becomes a space, which makes more words of the run
+    run = lambda at, n: F.struct(at.alias("at"), n.alias("n"), F.when(
+        at + n - 1 <= F.size("texts"), F.array_join(F.slice("texts", at, n), " ", " ")).alias("phrase"))
+    runs = (packed.select("sent_id", "begin", F.inline(F.flatten(F.transform(
+        starts, lambda at: F.transform(sizes, lambda n: run(at, n))))))
+            .where(F.col("phrase").isNotNull())
+            .select("sent_id", (F.col("begin") + F.col("at") - 1).cast("long").alias("start"), "n", "phrase"))
+    return runs.join(keyed, ["n", "phrase"]).select("sent_id", "phrase", "start")
 
 
 def first_spans(rel: DataFrame, tokens: DataFrame) -> DataFrame:
