@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexis.functions.text import normalise_digits, word_tokens
 from lexis.operators.ordering import contiguous_folds
@@ -26,6 +27,8 @@ from lexis.plans.sizing import bounded_broadcast
 SKIP_N_FEATURES = 100
 MAX_FEATURES = 600
 
+PLACES = 1 << 31  # tokens of a sample are fewer
+
 
 def normalise(samples: DataFrame, text_col: str = "text") -> DataFrame:
     """Digit runs -> 'D'."""
@@ -33,8 +36,12 @@ def normalise(samples: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def raw_tokens(samples: DataFrame, text_col: str = "text") -> DataFrame:
-    """``sample_id, pos, token`` from digit-normalised text."""
-    return samples.select("sample_id", F.posexplode_outer(word_tokens(normalise_digits(F.col(text_col))))
+    """``sample_id, pos, token`` from digit-normalised text.
+
+    Texts travel once, to their sample's task; counting its terms and joining its label
+    or fold then move no tokens (a given number of tasks keeps them there)."""
+    n = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return samples.repartition(n, "sample_id").select("sample_id", F.posexplode_outer(word_tokens(normalise_digits(F.col(text_col))))
                           .alias("pos", "token")).where(F.col("token").isNotNull())
 
 
@@ -63,10 +70,18 @@ def term_frequencies(per_sample: DataFrame, assign: DataFrame) -> DataFrame:
     """A7 per fold over its training samples: ``fold_id, term, cnt, first``
     where ``first`` = (sample_id, pos) of the first occurrence."""
     train = assign.where(~F.col("is_test")).select("sample_id", "fold_id")
-    first = F.min(F.struct("sample_id", "first_pos"))
     return (per_sample.join(train, "sample_id")
             .groupBy("fold_id", "term")
-            .agg(F.sum("cnt").alias("cnt"), first.alias("first")))
+            .agg(F.sum("cnt").alias("cnt"), _first_seen(per_sample).alias("first")))
+
+
+def _first_seen(per_sample: DataFrame):
+    """The smallest (sample_id, first_pos): of whole numbers as one number, which a hash
+    aggregate can keep."""
+    if isinstance(per_sample.schema["sample_id"].dataType, T.IntegralType):
+        place = F.col("sample_id").cast("decimal(38,0)") * F.lit(PLACES) + F.col("first_pos")
+        return F.min(place.cast("decimal(38,0)"))
+    return F.min(F.struct("sample_id", "first_pos"))
 
 
 def vocab_band(freqs: DataFrame, skip: int = SKIP_N_FEATURES, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -93,13 +108,17 @@ def fit_nb(pres: DataFrame, assign: DataFrame, labels: DataFrame) -> dict:
     ``T_l`` (sum of n_lt), ``T`` and ``N``; ``label_ord`` = first training
     sample of the label (the tie-break order)."""
     train = assign.where(~F.col("is_test")).join(labels.select("sample_id", "label"), "sample_id")
-    label_counts = train.groupBy("fold_id", "label").agg(
-        F.count(F.lit(1)).alias("n_l"), F.min("sample_id").alias("label_ord"))
+    label_counts = _label_counts(train)
     term_counts = (pres.where(~F.col("is_test")).join(labels.select("sample_id", "label"), "sample_id")
                    .groupBy("fold_id", "label", "term").agg(F.count(F.lit(1)).alias("n_lt")))
     return _model(label_counts, term_counts)
 
 
+def _label_counts(train: DataFrame) -> DataFrame:
+    return train.groupBy("fold_id", "label").agg(
+        F.count(F.lit(1)).alias("n_l"), F.min("sample_id").alias("label_ord"))
+
+
 def _model(label_counts: DataFrame, term_counts: DataFrame) -> dict:
     """Both tables are read several times; they hold at most the band's terms of each label."""
     term_counts = term_counts.cache()
@@ -202,11 +221,21 @@ def predict(scores: DataFrame, digits: int = 4) -> DataFrame:
 def run_folds(tokens: DataFrame, labels: DataFrame, assign: DataFrame,
               skip: int = SKIP_N_FEATURES, max_features: int = MAX_FEATURES) -> dict:
     """Fit vocabulary + model per fold and predict the fold's test samples."""
-    per_sample = sample_terms(tokens).cache()
-    freqs = term_frequencies(per_sample, assign)
+    # a sample's folds and labels come to its terms once, where they are counted: nothing
+    # of a row for each sample and term is moved to be joined
+    folds = assign.groupBy("sample_id").agg(F.collect_list(F.struct("fold_id", "is_test")).alias("folds"))
+    of_sample = labels.groupBy("sample_id").agg(F.collect_list(F.struct("label")).alias("labels"))
+    per_sample = sample_terms(tokens).join(folds, "sample_id").join(of_sample, "sample_id", "left").cache()
+    each = per_sample.select("sample_id", "term", "cnt", "first_pos", "labels", F.inline("folds"))
+    freqs = (each.where(~F.col("is_test")).groupBy("fold_id", "term")
+             .agg(F.sum("cnt").alias("cnt"), _first_seen(per_sample).alias("first")))
     vocab = vocab_band(freqs, skip, max_features).cache()
-    pres = presence(per_sample, assign, vocab)
-    model = fit_nb(pres, assign, labels)
+    in_band = each.join(F.broadcast(vocab.select("fold_id", "term")), ["fold_id", "term"], "left_semi")
+    pres = in_band.select("fold_id", "term", "sample_id", "is_test")
+    term_counts = (in_band.where(~F.col("is_test")).select("fold_id", "term", F.inline("labels"))
+                   .groupBy("fold_id", "label", "term").agg(F.count(F.lit(1)).alias("n_lt")))
+    train = assign.where(~F.col("is_test")).join(labels.select("sample_id", "label"), "sample_id")
+    model = _model(_label_counts(train), term_counts)
     scores = classify_nb(pres, assign, model)
     of_test = best_labels(assign.where("is_test").select("fold_id", "sample_id"),
                           pres.where("is_test").select("fold_id", "sample_id", "term"), model)
@@ -253,7 +282,7 @@ def cross_validate(tokens: DataFrame, labels: DataFrame, k: int = 3,
     per_sample = sample_terms(tokens).join(known, "sample_id").cache()
 
     per_fold = per_sample.groupBy("term", "own").agg(
-        F.sum("cnt").alias("cnt"), F.min(F.struct("sample_id", "first_pos")).alias("first"))
+        F.sum("cnt").alias("cnt"), _first_seen(per_sample).alias("first"))
     per_term = per_fold.groupBy("term").agg(
         F.sum("cnt").alias("total"), F.max("cnt").alias("most"),
         F.collect_list(F.struct("own", "cnt", "first")).alias("folds")).cache()
@@ -268,8 +297,8 @@ def cross_validate(tokens: DataFrame, labels: DataFrame, k: int = 3,
     # at most (max_features - skip) terms a fold
     in_folds = F.broadcast(vocab.groupBy("term").agg(F.collect_list("fold_id").alias("in_folds")))
     pres = per_sample.select("sample_id", "own", "label", "term").join(in_folds, "term")
-    by_label = (pres.groupBy("term", "label", "own").agg(F.count(F.lit(1)).alias("n"), F.first("in_folds").alias("in_folds"))
-                .groupBy("term", "label").agg(F.collect_list(F.struct("own", "n")).alias("folds"), F.first("in_folds").alias("in_folds")))
+    by_label = (pres.groupBy("term", "label", "own").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("term", "label").agg(F.collect_list(F.struct("own", "n")).alias("folds")).join(in_folds, "term"))
     term_counts = (by_label.select("term", "label", "in_folds", _without("folds", lambda x: x["n"], k).alias("f"))
                    .where(F.array_contains("in_folds", F.col("f.fold_id")) & (F.size("f.rest") > 0))
                    .select("f.fold_id", "label", "term", F.aggregate("f.rest", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_lt")))

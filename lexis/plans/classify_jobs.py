@@ -18,8 +18,9 @@ def samples(spark, sf_dir, label="quality"):
 
 @lru_cache(maxsize=8)
 def raw_tokens(spark, sf_dir):
-    """Tokenised once; lemma table and lemma-mapped terms both read it."""
-    return nb.raw_tokens(samples(spark, sf_dir)).cache()
+    """Not cached: the lemma table reads it once and the terms once, and only an uncached
+    plan keeps a sample's tokens together up to its counted terms."""
+    return nb.raw_tokens(samples(spark, sf_dir))
 
 
 def lemmas(spark, sf_dir):
@@ -28,7 +29,7 @@ def lemmas(spark, sf_dir):
 
 @lru_cache(maxsize=8)
 def tokens(spark, sf_dir, label="quality"):
-    return nb.tokenise(None, lemmas(spark, sf_dir), toks=raw_tokens(spark, sf_dir)).cache()
+    return nb.tokenise(None, lemmas(spark, sf_dir), toks=raw_tokens(spark, sf_dir))
 
 
 @lru_cache(maxsize=8)
