@@ -32,6 +32,7 @@ from lexis.operators.ngrams import (WORD_SEP, char_ngrams, count_ngrams, explode
 
 # N per smoothing mode.
 MODE_ORDER = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
+UNITS_PER_TASK = 2_000_000  # units (characters or words) whose grams one task counts by document
 MODEL_BLOCK = 256  # models scored side by side in columns; more models are scored in several blocks
 
 
@@ -168,6 +169,11 @@ def _score_rows(docs: DataFrame, grams: Column, weights: DataFrame, names: list[
     return rows
 
 
+def _tasks_for(docs: DataFrame) -> int:
+    units = docs.agg(F.sum(F.col("m").cast("bigint"))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-units // UNITS_PER_TASK))
+
+
 def _score_sums(docs: DataFrame, grams: Column, weights: DataFrame, names: list[str]) -> DataFrame:
     """``doc_id, m, s0 .. s{K-1}`` for every document and every model, where
     ``seen`` = sum over the document's gram occurrences of the model's weight
@@ -182,8 +188,9 @@ def _score_sums(docs: DataFrame, grams: Column, weights: DataFrame, names: list[
     wide = weights.where(F.col("model").isin(names)).groupBy("gram").pivot("model", names).agg(F.first("w"))
     wide = wide.toDF("gram", *[f"w{i}" for i in range(k)])
     # one shuffle of the texts by document; counting a document's grams, and their
-    # sums after a broadcast join, then need no further one
-    occ = (docs.repartition("doc_id").select("doc_id", "m", F.explode_outer(grams).alias("gram"))
+    # sums after a broadcast join, then need no further one.  Tasks are sized by the
+    # units that they count (a given number is not coalesced by the size of the texts)
+    occ = (docs.repartition(_tasks_for(docs), "doc_id").select("doc_id", "m", F.explode_outer(grams).alias("gram"))
            .groupBy("doc_id", "m", "gram").agg(F.count(F.lit(1)).alias("k")))
     return (occ.join(wide, "gram", "left")
             .groupBy("doc_id", "m")
