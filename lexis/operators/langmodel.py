@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexis.functions.numeric import log2_or_null, perplexity_from
 from lexis.functions.text import char_units, padded_word_units, word_units
@@ -33,6 +34,7 @@ from lexis.operators.ngrams import (WORD_SEP, char_ngrams, count_ngrams, explode
 # N per smoothing mode.
 MODE_ORDER = {"unsmoothed": 1, "laplace": 2, "interpolation": 3}
 UNITS_PER_TASK = 2_000_000  # units (characters or words) whose grams one task counts by document
+HELD_CHARS = 4_000_000  # characters of texts that a task counts at once
 MODEL_BLOCK = 256  # models scored side by side in columns; more models are scored in several blocks
 
 
@@ -108,21 +110,79 @@ def fit_ngram_model(corpus: DataFrame, model_col: str = "model", text_col: str =
     return NgramModel(grams, stats, unit, tuple(orders))
 
 
+def _counted_trigrams(src: DataFrame) -> DataFrame:
+    """``model, gram, cnt`` of some texts at a time: trigrams, and each text's last bigram and unit."""
+    schema = T.StructType([src.schema["model"], T.StructField("gram", T.StringType()), T.StructField("cnt", T.LongType())])
+    held = HELD_CHARS
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def count(texts):
+            """(gram, count) of texts of one model."""
+            cp = np.frombuffer("".join(texts).encode("utf-32-le"), "uint32").astype("int64")
+            alphabet = np.unique(cp)
+            place = np.zeros(int(alphabet[-1]) + 1, "int64")
+            place[alphabet] = np.arange(len(alphabet))
+            ids, size = place[cp], len(alphabet)
+            ends = np.cumsum([len(x) for x in texts])
+            begins = ends - [len(x) for x in texts]
+            whole = np.ones(len(cp), bool)
+            whole[ends - 1] = False
+            whole[np.maximum(ends - 2, begins)] = False
+            at = np.flatnonzero(whole)
+            two = ends[ends - begins >= 2] - 2
+            for at, n in ((at, 3), (two, 2), (ends - 1, 1)):
+                code = ids[at]
+                for k in range(1, n):
+                    code = code * size + ids[at + k]
+                if size ** n <= 1 << 24:
+                    counts = np.bincount(code)
+                    found = np.flatnonzero(counts)
+                    counts = counts[found]
+                else:
+                    found, counts = np.unique(code, return_counts=True)
+                grams = np.empty((len(found), n), "<u4")
+                for k in reversed(range(n)):
+                    found, unit = np.divmod(found, size)
+                    grams[:, k] = alphabet[unit]
+                chars = grams.tobytes().decode("utf-32-le")
+                yield [chars[i:i + n] for i in range(0, len(chars), n)], counts
+
+        def rows(by_model):
+            for model, texts in by_model.items():
+                for grams, counts in count(texts):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([model] * len(grams), kind), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], schema.names)
+
+        by_model, n = {}, 0
+        for batch in batches:
+            kind = batch.schema.field("model").type
+            for model, text in zip(batch.column("model").to_pylist(), batch.column("t").to_pylist()):
+                if text:
+                    by_model.setdefault(model, []).append(text)
+                    n += len(text)
+                if n >= held:
+                    yield from rows(by_model)
+                    by_model, n = {}, 0
+        if n:
+            yield from rows(by_model)
+
+    return src.select("model", "t").mapInArrow(run, schema)
+
+
 def _char_counts_from_trigrams(src: DataFrame) -> DataFrame:
-    """Char uni/bi/trigram counts from one exploded array per text.
+    """Char uni/bi/trigram counts from one pass over the texts.
 
-    Only trigram occurrences are exploded (one row per position).  Every
+    Tasks count trigrams and send a row for each that some texts have.  Every
     bigram occurrence but a text's last one is the prefix of a trigram
     occurrence, and every unit but the last is the prefix of a bigram, so
       c2(xy) = sum_z c3(xyz) + [xy ends a text],  c1(x) = sum_y c2(xy) + [x ends a text];
     the prefix sums run on the (small) aggregated tables.  A text's last two grams
-    stand in the same array as its trigrams and are told by their length, so
-    the texts are read and exchanged once."""
-    m = F.length("t")
-    ends = F.filter(F.array(F.when(m >= 2, F.substring("t", -2, 2)), F.when(m >= 1, F.substring("t", -1, 1))),
-                    lambda g: g.isNotNull())
-    base = (explode_grams(src, ["model"], F.concat(char_ngrams(F.col("t"), 3), ends))
-            .groupBy("model", "gram").agg(F.count(F.lit(1)).alias("cnt"))).cache()
+    are counted beside its trigrams and are told by their length, so the texts
+    are read once."""
+    base = _counted_trigrams(src).groupBy("model", "gram").agg(F.sum("cnt").alias("cnt")).cache()
     tri, end2, end1 = (base.where(F.length("gram") == n) for n in (3, 2, 1))
     bi = (tri.select("model", F.substring("gram", 1, 2).alias("gram"), "cnt").unionByName(end2)
           .groupBy("model", "gram").agg(F.sum("cnt").alias("cnt")))
