@@ -90,3 +90,18 @@ def test_terms_of_a_sample_are_not_moved_to_be_joined(spark):
     model = nb.fit_nb(pres, assign, samples)
     for k, cols in (("labels", ["fold_id", "label", "n_l", "label_ord", "T_l", "N", "T"]), ("terms", ["fold_id", "label", "term", "n_lt"])):
         assert sorted(map(str, run["model"][k].select(cols).collect())) == sorted(map(str, model[k].select(cols).collect()))
+
+
+def test_hmm_counts_words_before_they_are_replaced(spark):
+    from lexis.operators import hmm
+    from lexis.plans import tagging_jobs as tj
+    gold = spark.createDataFrame([(1, ["a", "b"], ["X", "Y"]), (1, ["a", "b"], ["X", "Y"]), (2, ["b", "c", "a"], ["Y", "X", "X"]),
+                                  (3, ["d"], ["X"]), (4, ["e", "b"], ["Y", "X"])], "sent_id long, words array<string>, tags array<string>")
+    t = sq.unpack(gold)
+    r = sq.replace_rare(t, sq.word_counts(t), 1).select("sent_id", "pos", F.col("model_word").alias("word"), "tag")
+    want, got = hmm.fit_hmm(sq.pack(r)), tj._replaced_hmm(gold)
+    for k in want:
+        assert got[k].columns == want[k].columns
+        assert sorted(map(tuple, got[k].collect())) == sorted(map(tuple, want[k].collect()))
+    plan = got["emission"]._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
