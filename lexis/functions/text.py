@@ -24,9 +24,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def char_text(text) -> Column:
+    """A text without line breaks."""
+    return F.regexp_replace(_c(text), "\n", "")
+
+
 def char_units(text) -> Column:
     """Characters (code points) of a text, line breaks dropped; ``[]`` for ''."""
-    t = F.regexp_replace(_c(text), "\n", "")
+    t = char_text(text)
     return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.split(t, ""))
 
 

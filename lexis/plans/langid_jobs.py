@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.functions.text import char_units, word_units
+from lexis.functions.text import char_text, word_units
 from lexis.operators import langmodel as lm
 from lexis.operators import manymodels, suffixgrams
 from lexis.operators.ngrams import WORD_SEP
@@ -114,7 +114,7 @@ def ngram_counts_1_to_6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = [suffixgrams.ngram_counts(docs, ["lang"], units(F.col("text")), 6, sep, min_count=2)
              .select(F.lit(unit).alias("unit"), F.col("lang").alias("model"), "n", "gram", "cnt")
-             for unit, units, sep in (("char", char_units, ""), ("word", word_units, WORD_SEP))]
+             for unit, units, sep in (("char", char_text, ""), ("word", word_units, WORD_SEP))]
     return found[0].unionByName(found[1])
 
 
