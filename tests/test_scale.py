@@ -68,6 +68,21 @@ def test_packed_sentences_hold_no_cached_blocks(spark):
     assert not (level.useMemory or level.useDisk)
 
 
+def test_backoff_model_holds_no_cached_blocks(spark):
+    from conftest import SF_SMALL
+    level = tj.backoff_model_df(spark, SF_SMALL).storageLevel
+    assert not (level.useMemory or level.useDisk)
+
+
+def test_tokens_are_counted_with_their_tags_once(spark, monkeypatch):
+    monkeypatch.setattr(tj, "UNK_THRESHOLD", 1)
+    gold = spark.createDataFrame([(1, ["a", "a", "b"], ["X", "X", "Y"]), (2, ["a"], ["Y"])], "sent_id long, words array<string>, tags array<string>")
+    emission = tj._replaced_hmm(gold)["emission"]
+    assert "Generate" not in emission._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["tag"], r["word"]): r["logp"] for r in emission.collect()}
+    assert got == {("X", "a"): 0.0, ("Y", "a"): -1.0, ("Y", "<UNK>"): -1.0}
+
+
 def test_grams_below_the_cutoff_are_not_written(spark, monkeypatch):
     seen = {}
     real = suffixgrams.written
