@@ -172,6 +172,14 @@ class _Windows:
         self._clear()
 
 
+def _parts(batch):
+    """Slices of a batch of about ``HELD_ROWS`` positions: numbers are made of one at a time."""
+    import numpy as np
+    n = np.cumsum(batch.column("n").to_numpy(zero_copy_only=False), dtype="int64") // HELD_ROWS
+    cuts = [0, *(np.flatnonzero(np.diff(n)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
 def _code_points(texts):
     """The characters of all texts, one after the other, as numbers."""
     import numpy as np
@@ -179,7 +187,7 @@ def _code_points(texts):
     texts = pa.concat_arrays([texts])
     _, ends, data = texts.buffers()
     ends = np.frombuffer(ends, "int32")[texts.offset:texts.offset + len(texts) + 1]
-    flat = data.to_pybytes()[ends[0]:ends[-1]] if data else b""
+    flat = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data else b""
     return np.frombuffer(flat.decode("utf-8").encode("utf-32-le"), "uint32")
 
 
@@ -232,8 +240,8 @@ def _counted(pieces: DataFrame, names: list[str], max_n: int, sep: str) -> DataF
 
     def run(batches):
         windows = _Windows(names, max_n, sep, [*names, "suffix", "cnt"])
-        for b in batches:
-            if b.num_rows:
+        for batch in batches:
+            for b in _parts(batch):
                 starts = b.column("n").to_numpy(zero_copy_only=False)
                 yield from windows.add([b.column(k) for k in names], b.column("u"), starts)
         yield from windows.rest()

@@ -86,3 +86,13 @@ def test_a_task_counts_equal_windows_as_one_row(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert sum(got.values()) == 50 * 2000 and got["ab"] == got["b"] == 50
+
+
+def test_numbers_are_made_of_a_part_of_a_batch(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(suffixgrams, "HELD_ROWS", 100)
+    texts = ["ab\u4e00é" * 10] * 9 + ["x" * 1000, "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([len(t) for t in texts], pa.int32())], ["u", "n"])
+    parts = suffixgrams._parts(batch)
+    assert max(p.num_rows for p in parts) == 3 and sum(p.num_rows for p in parts) == 11
+    assert "".join(chr(c) for p in parts for c in suffixgrams._code_points(p.column("u"))) == "".join(texts)
