@@ -85,8 +85,9 @@ class _Windows:
             n, flat = pc.utf8_length(units).to_numpy(zero_copy_only=False).astype("int64"), _code_points(units)
         ends = np.cumsum(n)
         groups = [pc.dictionary_encode(h, null_encoding="encode") for h in heads]
-        for a in range(0, len(flat), HELD_ROWS):
-            b = min(len(flat), a + HELD_ROWS)
+        most = HELD_ROWS if isinstance(flat, np.ndarray) else max(1, HELD_ROWS // 4)   # words take more memory each
+        for a in range(0, len(flat), most):
+            b = min(len(flat), a + most)
             row = np.searchsorted(ends, np.arange(a, b), "right") if len(n) > b - a else np.repeat(
                 np.arange(len(n)), np.clip(ends, a, b) - np.clip(ends - n, a, b))
             left = ends[row] - np.arange(a, b)
